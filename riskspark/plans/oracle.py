@@ -53,27 +53,60 @@ SELECT * FROM txn
 UNION ALL
 SELECT * REPLACE (validated_at + INTERVAL 1 SECOND AS validated_at) FROM txn WHERE eid % 41 = 0""", ["txn"])
 
+def suite_conditions(regex_fail: str, int_fail: dict | None = None) -> list[tuple[str, str, str]]:
+    """(expectation name, column, SQL 'fails' condition) in suite order; nulls never fail values."""
+    out = [("expect_column_values_to_not_be_null", c, f"{c} IS NULL") for c in C.REQUIRED_COLUMNS]
+    out.append(("expect_column_values_to_be_between", "amount",
+                f"coalesce(amount < CAST({C.AMOUNT_MIN} AS DOUBLE) OR amount > CAST({C.AMOUNT_MAX} AS DOUBLE), false)"))
+    out.append(("expect_column_values_to_be_in_set", "country", f"coalesce(country NOT IN ({_Q(C.COUNTRIES)}), false)"))
+    out.append(("expect_column_values_to_be_in_set", "currency", f"coalesce(currency NOT IN ({_Q(C.CURRENCIES)}), false)"))
+    out.append(("expect_column_values_to_be_in_set", "channel", f"coalesce(channel NOT IN ({_Q(C.CHANNELS)}), false)"))
+    out.append(("expect_column_values_to_be_in_set", "event_type",
+                f"coalesce(event_type NOT IN ({_Q(C.EVENT_TYPES)}), false)"))
+    out.append(("expect_column_values_to_be_in_set", "drift_phase", "coalesce(drift_phase NOT IN (0, 1), false)"))
+    for c in C.ID_COLUMNS:
+        out.append(("expect_column_values_to_be_between", c, f"coalesce({c} < 0, false)"))
+        if int_fail is not None:
+            out.append(("expect_column_values_to_be_of_type", c, int_fail.get(c, "false")))
+    out.append(("expect_column_values_to_match_regex", "event_ts", regex_fail))
+    return out
+
+
+TYPED_REGEX_FAIL = ("coalesce(NOT regexp_matches(strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%fZ'), "
+                    "'^\\d{4}-\\d{2}-\\d{2}T.*Z$'), false)")
+
+
+def failed_list_sql(conds) -> str:
+    items = ",\n    ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, _, cond in conds)
+    return f"list_filter([\n    {items}\n  ], lambda x: x IS NOT NULL)"
+
+
 CTES["txn_flags"] = (f"""
-SELECT *,
-  list_filter([
-    CASE WHEN event_id IS NULL OR event_type IS NULL OR event_ts IS NULL OR user_id IS NULL
-           OR merchant_id IS NULL OR device_id IS NULL OR ip_id IS NULL OR amount IS NULL
-           OR currency IS NULL OR country IS NULL OR channel IS NULL OR drift_phase IS NULL
-         THEN 'expect_column_values_to_not_be_null' END,
-    CASE WHEN amount < CAST({C.AMOUNT_MIN} AS DOUBLE) OR amount > CAST({C.AMOUNT_MAX} AS DOUBLE)
-         THEN 'expect_column_values_to_be_between' END,
-    CASE WHEN country NOT IN ({_Q(C.COUNTRIES)}) THEN 'expect_column_values_to_be_in_set' END,
-    CASE WHEN currency NOT IN ({_Q(C.CURRENCIES)}) THEN 'expect_column_values_to_be_in_set' END,
-    CASE WHEN channel NOT IN ({_Q(C.CHANNELS)}) THEN 'expect_column_values_to_be_in_set' END,
-    CASE WHEN event_type NOT IN ({_Q(C.EVENT_TYPES)}) THEN 'expect_column_values_to_be_in_set' END,
-    CASE WHEN drift_phase NOT IN (0, 1) THEN 'expect_column_values_to_be_in_set' END,
-    CASE WHEN user_id < 0 OR merchant_id < 0 OR device_id < 0 OR ip_id < 0
-         THEN 'expect_column_values_to_be_between' END,
-    CASE WHEN NOT regexp_matches(strftime(event_ts, '%Y-%m-%dT%H:%M:%S.%fZ'), '^\\d{{4}}-\\d{{2}}-\\d{{2}}T.*Z$')
-         THEN 'expect_column_values_to_match_regex' END
-  ], lambda x: x IS NOT NULL) AS failed_raw
+SELECT *, {failed_list_sql(suite_conditions(TYPED_REGEX_FAIL))} AS failed_raw
 FROM txn""", ["txn"])
 
+# Raw messages (B5): breakage class by priority, then the typed values a parser would see.
+_BRK = " ".join(f"WHEN eid % {m} = 0 THEN '{k}'" for m, k in
+                [(53, "truncated"), (59, "float_id"), (67, "missing_user"), (73, "negative_ip"),
+                 (79, "zero_amount"), (83, "no_z")])
+CTES["msg_typed"] = (f"""
+SELECT eid, event_id, event_type, event_ts, validated_at,
+       CASE WHEN brk = 'missing_user' THEN NULL ELSE user_id END AS user_id,
+       merchant_id, device_id,
+       CASE WHEN brk = 'negative_ip' THEN -1 ELSE ip_id END AS ip_id,
+       CASE WHEN brk = 'zero_amount' THEN CAST(0 AS DOUBLE) ELSE amount END AS amount,
+       currency, country, channel, drift_phase, payload, brk,
+       coalesce(brk = 'truncated', false) AS is_dead
+FROM (SELECT *, CASE {_BRK} END AS brk FROM txn_raw) b""", ["txn_raw"])
+
+MSG_CONDS = suite_conditions(
+    "coalesce(brk = 'no_z', false)",
+    {"user_id": "coalesce(brk = 'float_id', false)"})
+
+CTES["msg_flags"] = (f"""
+SELECT *, CASE WHEN NOT is_dead THEN {failed_list_sql(MSG_CONDS)} END AS failed_raw
+FROM msg_typed""", ["msg_typed"])
+
 CTES["txn_validated"] = ("""
 SELECT * EXCLUDE (failed_raw) FROM txn_flags WHERE len(failed_raw) = 0""", ["txn_flags"])
 

@@ -111,3 +111,40 @@ def txn_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(C.GROUND_TRUTH_SOURCE).alias("label_source"),
         (F.col("event_ts") + F.expr("INTERVAL 31 MINUTES")).alias("labeled_at"),
     )
+
+
+# FIXED VALUES: raw-message breakage pattern (B5), checked in this priority order.
+BREAKAGE = [
+    (53, "truncated"),      # not JSON at all -> dead letter
+    (59, "float_id"),       # "user_id": 5.0 -> integer-type expectation fails
+    (67, "missing_user"),   # user_id key absent -> not-null fails
+    (73, "negative_ip"),    # ip_id -1 -> between fails
+    (79, "zero_amount"),    # amount 0 -> between fails
+    (83, "no_z"),           # event_ts without Z -> regex fails
+]
+
+
+def raw_messages(spark: SparkSession, sf_dir: str, duplicates: bool = True) -> DataFrame:
+    """B1 rendered as JSON messages (one ``raw`` text per event) with broken lines.
+
+    Columns: ``seq`` (arrival order key), ``raw``.  Replays of ``event_id % 41 = 0``
+    arrive again later (``duplicates``).
+    """
+    t = txn(spark, sf_dir, duplicates=duplicates)
+    eid = F.col("event_id").cast("bigint")
+    lab = (F.col("amount") >= 500).cast("int")
+    msg = F.to_json(F.struct(
+        "event_id", "event_type", P.iso_utc("event_ts").alias("event_ts"), *C.ID_COLUMNS,
+        "amount", "currency", "country", "channel", "drift_phase",
+        F.when(eid % 3 == 0, lab).alias("is_fraud"), F.when(eid % 3 == 1, lab).alias("label")))
+    broken = (F.when(eid % 53 == 0, F.substring(msg, 1, 20))
+               .when(eid % 59 == 0, F.regexp_replace(msg, '"user_id":(-?[0-9]+)', '"user_id":$1.0'))
+               .when(eid % 67 == 0, F.regexp_replace(msg, '"user_id":-?[0-9]+,', ""))
+               .when(eid % 73 == 0, F.regexp_replace(msg, '"ip_id":[0-9]+', '"ip_id":-1'))
+               .when(eid % 79 == 0, F.regexp_replace(msg, '"amount":[-0-9.eE+]+', '"amount":0'))
+               .when(eid % 83 == 0, F.regexp_replace(msg, 'Z"', '"'))
+               .otherwise(msg))
+    # arrival order: event time, then first copy before its replay
+    seq = F.concat(F.date_format("validated_at", "yyyyMMddHHmmssSSSSSS"), F.lit("-"),
+                   F.lpad(F.col("event_id"), 12, "0"))
+    return t.select(seq.alias("seq"), F.col("validated_at").alias("arrived_at"), broken.alias("raw"))
