@@ -1,4 +1,4 @@
 """Imports every query module so the registry is complete."""
 
-from . import q_core, q_functions  # noqa: F401
+from . import q_core, q_functions, q_joins, q_metrics  # noqa: F401
 from .registry import OPERATORS, ORACLE, QUERIES  # noqa: F401

@@ -37,10 +37,23 @@ def get_spark(master: str | None = None, app: str = "riskspark",
     spark = b.getOrCreate()
     # Settings that are safe to change on a live session (the driver may hand
     # us its own session; UTC is required for the event-time semantics).
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    apply_runtime_conf(spark)
     return spark
 
 
+def apply_runtime_conf(spark: SparkSession) -> None:
+    """Runtime SQL settings the operators rely on (safe to set on a live session).
+
+    * UTC session time zone: event-time logic and timestamp literals are UTC.
+    * Constraint propagation off: the validation suite folds ~30 predicates into
+      one projection; Catalyst's constraint inference over joins of such
+      projections grows combinatorially (driver OOM while planning).  Filters we
+      need are written explicitly, so nothing is lost.
+    """
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.constraintPropagation.enabled", "false")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder.
 

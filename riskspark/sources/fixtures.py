@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from .. import constants as C
 from ..functions import scalar as P
 from ..functions.expectations import validate
+from ..session import checkpoint_dir
 from .tables import table
 
 # FIXED VALUES: fixture constants (FIXTURES.md B1-B4).
@@ -124,7 +125,8 @@ BREAKAGE = [
 ]
 
 
-def raw_messages(spark: SparkSession, sf_dir: str, duplicates: bool = True) -> DataFrame:
+def raw_messages(spark: SparkSession, sf_dir: str, duplicates: bool = True,
+                 materialize: bool = True) -> DataFrame:
     """B1 rendered as JSON messages (one ``raw`` text per event) with broken lines.
 
     Columns: ``seq`` (arrival order key), ``raw``.  Replays of ``event_id % 41 = 0``
@@ -147,4 +149,13 @@ def raw_messages(spark: SparkSession, sf_dir: str, duplicates: bool = True) -> D
     # arrival order: event time, then first copy before its replay
     seq = F.concat(F.date_format("validated_at", "yyyyMMddHHmmssSSSSSS"), F.lit("-"),
                    F.lpad(F.col("event_id"), 12, "0"))
-    return t.select(seq.alias("seq"), F.col("validated_at").alias("arrived_at"), broken.alias("raw"))
+    out = t.select(seq.alias("seq"), F.col("validated_at").alias("arrived_at"), broken.alias("raw"))
+    if not materialize:
+        return out
+    # The message text is the *source* of the validate-and-route path (files or a
+    # broker topic in production).  Writing it once to the shared checkpoint
+    # folder gives the operators a plain scan to start from, as a file source
+    # would, instead of re-deriving (and re-rendering) the JSON text in every
+    # expression that reads it.
+    checkpoint_dir(spark)
+    return out.checkpoint(eager=True)
