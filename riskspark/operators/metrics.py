@@ -106,8 +106,11 @@ def roc_auc(df: DataFrame, score: str = "final_score", label: str = "label",
 
 def pr_table(df: DataFrame, score: str, label: str) -> DataFrame:
     """Per distinct score (descending): tp / fp at threshold ``>= s``, precision, recall."""
-    st = cumulative(score_table(df, score, label), "s", ["pos", "neg"], descending=True)
-    tp, fp, P = F.col("cum_pos"), F.col("cum_neg"), F.col("cum_total_pos")
+    # one ascending pass: tp(s) = positives with score >= s = P - cum_pos(s) + pos(s)
+    st = cumulative(score_table(df, score, label), "s", ["pos", "neg"])
+    P = F.col("cum_total_pos")
+    tp = P - F.col("cum_pos") + F.col("pos")
+    fp = F.col("cum_total_neg") - F.col("cum_neg") + F.col("neg")
     return st.select("s", "pos", "neg", tp.alias("tp"), fp.alias("fp"), P.alias("P"),
                      _div(tp, tp + fp).alias("precision"), _div(tp, P).alias("recall"))
 
@@ -145,17 +148,29 @@ def fpr(df: DataFrame, t: float, score: str = "final_score", label: str = "label
 
 def evaluate_scores(df: DataFrame, t: float, score: str = "score", label: str = "label",
                     tie: str = "event_id") -> DataFrame:
-    """roc_auc, pr_auc, precision, recall, f1, precision_at_5p, fpr in one row."""
-    lab = F.col(label).cast("int")
-    pred = (F.col(score) >= F.lit(float(t))).cast("int")
-    base = df.agg(*confusion_aggs(lab, pred)).select(*prf(F.col("tp"), F.col("fp"), F.col("fn")),
-                                                     _div(F.col("fp"), F.col("fp") + F.col("tn")).alias("fpr"))
-    return base.select(
-        F.coalesce(roc_auc(df, score, label).select("auc").scalar(), F.lit(0.0)).alias("roc_auc"),
-        F.coalesce(pr_auc(df, score, label).select("pr_auc").scalar(), F.lit(0.0)).alias("pr_auc"),
-        "precision", "recall", "f1",
-        precision_at(df, 0.05, score, label, tie).select("precision_at").scalar().alias("precision_at_5p"),
-        "fpr")
+    """roc_auc, pr_auc, precision, recall, f1, precision_at_5p, fpr in one row.
+
+    The input is persisted for the handful of passes (confusion counts, one
+    distinct-score table, one ranked top-k) and released once the one-row record
+    is computed.
+    """
+    spark = df.sparkSession
+    d = df.select(score, label, tie).persist()
+    try:
+        lab = F.col(label).cast("int")
+        pred = (F.col(score) >= F.lit(float(t))).cast("int")
+        base = d.agg(*confusion_aggs(lab, pred)).select(
+            *prf(F.col("tp"), F.col("fp"), F.col("fn")),
+            _div(F.col("fp"), F.col("fp") + F.col("tn")).alias("fpr")).first()
+        auc = roc_auc(d, score, label).first()["auc"]
+        ap = pr_auc(d, score, label).first()["pr_auc"]
+        p5 = precision_at(d, 0.05, score, label, tie).first()["precision_at"]
+    finally:
+        d.unpersist()
+    row = (float(auc or 0.0), float(ap or 0.0), base["precision"], base["recall"], base["f1"],
+           None if p5 is None else float(p5), base["fpr"])
+    return spark.createDataFrame([row], "roc_auc double, pr_auc double, precision double, recall double, "
+                                        "f1 double, precision_at_5p double, fpr double")
 
 
 def class_balance(df: DataFrame, label: str = "label") -> DataFrame:

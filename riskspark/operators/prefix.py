@@ -36,7 +36,7 @@ def _bucketize(df: DataFrame, lead: str, n_buckets: int, rel_err: float = 0.001)
     if n_buckets <= 1:
         return keyed.withColumn("_pk_bucket", F.lit(0)), 1
     probs = [i / n_buckets for i in range(1, n_buckets)]
-    cuts = keyed.approxQuantile(key, probs, rel_err) if keyed.take(1) else []
+    cuts = keyed.approxQuantile(key, probs, rel_err)
     cuts = sorted(set(c for c in cuts if c is not None))
     if not cuts:
         return keyed.withColumn("_pk_bucket", F.lit(0)), 1
@@ -59,7 +59,7 @@ def _offsets(totals: list, n: int, cols: list[str]) -> dict:
 
 
 def cumulative(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False,
-               n_buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_") -> DataFrame:
+               n_buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_", next_col: str | None = None) -> DataFrame:
     """Running inclusive sums of ``value_cols`` in ``order_col`` order (peers included).
 
     Adds ``{prefix}{c}`` (running sum through the row's order value) and
@@ -68,7 +68,8 @@ def cumulative(df: DataFrame, order_col: str, value_cols: list[str], descending:
     keyed, nb = _bucketize(df, order_col, n_buckets)
     if descending:
         keyed = keyed.withColumn("_pk_bucket", F.lit(nb - 1) - F.col("_pk_bucket"))
-    totals = keyed.groupBy("_pk_bucket").agg(*[F.sum(c).alias(c) for c in value_cols]).collect()
+    totals = keyed.groupBy("_pk_bucket").agg(*[F.sum(c).alias(c) for c in value_cols],
+                                              F.min(order_col).alias("_min"), F.max(order_col).alias("_max")).collect()
     offs = _offsets(totals, nb, value_cols)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w = (Window.partitionBy("_pk_bucket").orderBy(order)
@@ -79,6 +80,21 @@ def cumulative(df: DataFrame, order_col: str, value_cols: list[str], descending:
         grand = sum((r[c] or 0) for r in totals)
         out = (out.withColumn(f"{prefix}{c}", F.sum(c).over(w) + F.element_at(lit_arr, F.col("_pk_bucket") + 1))
                   .withColumn(f"{prefix}total_{c}", F.lit(grand)))
+    if next_col:
+        # next order value: within the bucket by lead(), across the boundary from the
+        # first value of the next non-empty bucket (a literal per bucket)
+        by_b = {r["_pk_bucket"]: r for r in totals}
+        nxt, following = [], None
+        for b in reversed(range(nb)):
+            nxt.append(following)
+            if b in by_b and by_b[b]["_min" if not descending else "_max"] is not None:
+                following = by_b[b]["_min" if not descending else "_max"]
+        nxt.reverse()
+        typ = df.schema[order_col].dataType.simpleString()
+        arr = F.array(*[F.lit(v).cast(typ) for v in nxt])
+        wl = Window.partitionBy("_pk_bucket").orderBy(order)
+        out = out.withColumn(next_col, F.coalesce(F.lead(order_col).over(wl),
+                                                  F.element_at(arr, F.col("_pk_bucket") + 1)))
     return out.drop("_pk_lead", "_pk_bucket")
 
 

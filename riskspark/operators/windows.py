@@ -181,3 +181,27 @@ def time_split(df: DataFrame, ts: str = "event_ts", frac: float = 0.8, tie: str
     cut = int(frac * n)
     r = global_rank(df, [ts, tie])
     return r.withColumn("split", F.when(F.col("_rank") < cut, "train").otherwise("test")).drop("_rank")
+
+
+# ---------------------------------------------------------------------------
+# V16 trailing volume (global event-time window, time-bucketed)
+# ---------------------------------------------------------------------------
+def trailing_count(df: DataFrame, ts: str = "event_ts", seconds: int = C.VOLUME_WINDOW_SECONDS,
+                   row_key: str = "event_id", bucket: str = "10 minutes",
+                   name: str = "trailing_count") -> DataFrame:
+    """Rows in ``[ts - seconds, ts]`` over the whole stream (no entity key).
+
+    A plain ``ORDER BY ts`` window would put the whole table in one task; the
+    prefix form splits time into buckets with a carry-in per bucket.
+    """
+    d = df.withColumn("_vol_key", F.lit(0)).withColumn("_vol_amt", F.lit(0))
+    out = velocity_features(d, key="_vol_key", ts=ts, amount="_vol_amt", row_key=row_key, bucket=bucket,
+                            specs=[(name, "count", f"{int(seconds)} seconds")], constants=False)
+    return out.drop("_vol_key", "_vol_amt")
+
+
+def flag_volume_spike(df: DataFrame, limit: int = C.VOLUME_SPIKE_THRESHOLD, ts: str = "event_ts",
+                      seconds: int = C.VOLUME_WINDOW_SECONDS, row_key: str = "event_id") -> DataFrame:
+    """``volume_spike`` when more than ``limit`` events fall in the trailing window."""
+    t = trailing_count(df, ts, seconds, row_key)
+    return t.withColumn("volume_spike", F.col("trailing_count") > F.lit(int(limit)))
