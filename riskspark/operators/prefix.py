@@ -30,9 +30,18 @@ def _numeric_key(df: DataFrame, c: str) -> Column:
     return F.col(c).cast("double")
 
 
+def _materialize(df: DataFrame) -> DataFrame:
+    """The kernel reads its input three times (quantiles, bucket totals, final pass): write it once
+    to the shared checkpoint folder so an expensive upstream plan runs once and lineage is cut."""
+    from ..session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def _bucketize(df: DataFrame, lead: str, n_buckets: int, rel_err: float = 0.001):
     key = "_pk_lead"
-    keyed = df.withColumn(key, _numeric_key(df, lead))
+    keyed = _materialize(df.withColumn(key, _numeric_key(df, lead)))
     if n_buckets <= 1:
         return keyed.withColumn("_pk_bucket", F.lit(0)), 1
     probs = [i / n_buckets for i in range(1, n_buckets)]

@@ -16,7 +16,12 @@ CONTEXT = ["amount", "geo_mismatch", "is_new_device", "is_new_ip", "drift_phase"
 
 def feature_views(validated: DataFrame) -> dict[str, DataFrame]:
     """Feature rows per entity key: ``(key, event_ts, validated_at, features...)``."""
-    f = velocity_features(validated)
+    from ..session import checkpoint_dir
+
+    # the offline feature table is computed once and written to the shared checkpoint
+    # folder (as an offline store would hold it); the four views read from it
+    checkpoint_dir(validated.sparkSession)
+    f = velocity_features(validated).checkpoint(eager=True)
     return {k: f.select(k, "event_ts", "validated_at", *cols) for k, cols in C.FEATURE_VIEWS.items()}
 
 
