@@ -100,8 +100,13 @@ def _velocity_prefix(df, key, ts, amount, specs, row_key, bucket_us):
     # carry-in per (key, bucket): totals of all earlier buckets of that key.  Built
     # from the union, so every bucket that holds a probe has a carry row.  The
     # carry table has one row per (key, bucket): small even for a hot key.
-    tot = u.groupBy("_key", "_b").agg(F.sum("_one").alias("_c_tot"), F.sum("_nn").alias("_n_tot"),
-                                       F.sum("_amt").alias("_s_tot"))
+    # The bucket totals are the running sums at the bucket's last row: derive them from
+    # the windowed rows (already partitioned by (key, bucket): no extra scan / shuffle).
+    last = F.max_by(F.struct(F.col("_c_loc").alias("c"), F.col("_n_loc").alias("n"), F.col("_s_loc").alias("s")),
+                    F.struct("_t", "_ord"))
+    tot = u.groupBy("_key", "_b").agg(last.alias("_last")).select(
+        "_key", "_b", F.col("_last.c").alias("_c_tot"), F.col("_last.n").alias("_n_tot"),
+        F.coalesce(F.col("_last.s"), F.lit(0).cast("decimal(38,2)")).alias("_s_tot"))
     wk = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = tot.select("_key", "_b",
                        F.coalesce(F.sum("_c_tot").over(wk), F.lit(0)).alias("_c_off"),
