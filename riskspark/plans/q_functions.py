@@ -467,3 +467,32 @@ def v1_expect_columns(spark, sf):
     req = F.array(*[F.lit(c) for c in C.REQUIRED_COLUMNS])
     missing = F.when(~F.col("is_dead"), F.array_join(F.array_except(req, F.col("keys")), ","))
     return p.groupBy(missing.alias("missing")).agg(F.count(F.lit(1)).alias("n"))
+
+
+# ---------------------------------------------------------------- V12 suite as a JSON document
+SUITE_DOC = {
+    "expectations": [
+        {"type": "expect_column_values_to_not_be_null", "kwargs": {"column": c}} for c in C.REQUIRED_COLUMNS
+    ] + [
+        {"type": "expect_column_values_to_be_between", "kwargs": {"column": "amount", "min_value": 0.01,
+                                                                   "max_value": 100000}},
+        {"type": "expect_column_values_to_be_in_set", "kwargs": {"column": "country", "value_set": C.COUNTRIES}},
+        {"type": "expect_column_values_to_be_in_set", "kwargs": {"column": "channel", "value_set": C.CHANNELS}},
+    ]
+}
+
+
+@register("v12_json_suite", with_ctes(f"""
+SELECT count(*) FILTER (WHERE NOT (event_id IS NULL OR event_type IS NULL OR event_ts IS NULL OR user_id IS NULL
+         OR merchant_id IS NULL OR device_id IS NULL OR ip_id IS NULL OR amount IS NULL OR currency IS NULL
+         OR country IS NULL OR channel IS NULL OR drift_phase IS NULL
+         OR coalesce(amount < 0.01 OR amount > 100000, false)
+         OR coalesce(country NOT IN ({", ".join(repr(c) for c in C.COUNTRIES)}), false)
+         OR coalesce(channel NOT IN ('web', 'mobile'), false))) AS valid,
+       count(*) AS total
+FROM txn""", "txn"), ops="V12 V13")
+def v12_json_suite(spark, sf):
+    import json
+    suite = V.suite_from_json(json.dumps(SUITE_DOC))
+    v = V.validate(X.txn(spark, sf), suite)
+    return v.agg(F.count_if("is_valid").alias("valid"), F.count(F.lit(1)).alias("total"))

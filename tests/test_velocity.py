@@ -61,3 +61,22 @@ def test_trailing_count_global(spark):
     df = spark.createDataFrame(rows, "event_id string, event_ts timestamp_ntz")
     got = {r["event_id"]: r["trailing_count"] for r in trailing_count(df, seconds=60).collect()}
     assert got == {"0": 1, "1": 2, "2": 3, "3": 3, "4": 1}
+
+
+def test_hot_key_split_over_buckets(spark):
+    """One user holds a third of all rows: results equal the window form, and its rows are spread
+    over many (key, bucket) groups instead of one task."""
+    import random
+    rnd = random.Random(3)
+    t0 = datetime(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        user = 0 if i % 3 == 0 else rnd.randint(1, 200)
+        rows.append((str(i), user, t0 + timedelta(seconds=rnd.randint(0, 20 * 86400)), round(rnd.random() * 100, 2)))
+    df = spark.createDataFrame(rows, "event_id string, user_id long, event_ts timestamp_ntz, amount double")
+    a = velocity_features(df, method="window").drop("merchant_chargeback_rate_30d")
+    b = velocity_features(df, method="prefix", bucket="1 day").drop("merchant_chargeback_rate_30d")
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+    groups = df.where("user_id = 0").select(F.floor(F.unix_micros(F.col("event_ts").cast("timestamp"))
+                                                    / F.lit(86_400_000_000))).distinct().count()
+    assert groups >= 20
