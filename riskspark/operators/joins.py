@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import constants as C
-from ..functions import scalar as P
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 
@@ -222,4 +221,4 @@ def col_or_null(df: DataFrame, name: str) -> Column:
 
 __all__ = ["asof_join", "historical_features", "decisions_with_labels", "unlabeled", "with_payload",
            "labeled_decisions", "attach_context", "training_base", "online_features", "enrich_profiles",
-           "latest_online", "shadow_compare", "slice_context", "insert_ignore", "broadcast_if_small", "P"]
+           "latest_online", "shadow_compare", "slice_context", "insert_ignore", "broadcast_if_small"]

@@ -13,7 +13,7 @@ from ..sources import fixtures as X
 from . import feedback as FB
 from .oracle import with_ctes
 from .q_functions import proxy_sql
-from .q_metrics import _PERF_IN, _SLICE_IN, conf_sql, div_sql, prf_sql, _auc_sql
+from .q_metrics import _PERF_IN, conf_sql, prf_sql
 from .registry import register
 
 AS_OF = X.AS_OF

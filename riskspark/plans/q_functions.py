@@ -8,7 +8,6 @@ from .. import constants as C
 from ..functions import expectations as V
 from ..functions import messages as M
 from ..functions import scalar as P
-from ..operators import scoring as S
 from ..operators.windows import velocity_features
 from ..sources import fixtures as X
 from .oracle import MSG_CONDS, with_ctes

@@ -141,5 +141,3 @@ def t6_top_drift(spark, sf):
     strength = F.when(F.col("p_value").isNotNull(), F.lit(1.0) - F.col("p_value")).otherwise(F.col("statistic"))
     return R.top_k(out.withColumn("strength", strength), 8, "strength", by_abs=False, tie="column")
 
-
-__all__ = ["J"]

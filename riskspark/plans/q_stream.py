@@ -11,12 +11,10 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import messages as M
-from ..functions import scalar as P
 from ..session import checkpoint_dir, scratch_path
 from ..sources import fixtures as X
 from ..streaming import pipelines as ST
 from .oracle import with_ctes
-from .q_core import flat_decisions
 from .registry import register
 
 _N = [0]
@@ -180,5 +178,3 @@ def st12_delayed_labels(spark, sf):
     q.awaitTermination()
     return spark.read.parquet(labels).groupBy("label_source", "label").agg(F.count(F.lit(1)).alias("n"))
 
-
-__all__ = ["P", "flat_decisions"]
