@@ -8,3 +8,10 @@ Nothing else in the library imports this subpackage; it imports general helpers
 * ``graph``   - connected components over link tables
 * ``queries`` - the registered ``opN_*`` queries and their DuckDB SQL
 """
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this subpackage travel to Python workers by value, so executors need no copy of it.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from riskspark.llm import chat, mixing
+from riskspark.llm import chat, decontam, lines, mixing, quality_rules, secrets
 from riskspark.llm.common import table
+from riskspark.session import scratch_path
 
 QUERIES: dict[str, Callable] = {}
 ORACLE: dict[str, str] = {}
@@ -22,12 +23,43 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
+#: words, items and windows of the contamination contract
+_LETTERS = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+
+@query("op1_prefix_join", f"""
+WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+iw AS (SELECT DISTINCT item_id, least(len(w), 10) AS k, array_to_string(w[s + 1 : s + least(len(w), 10)], ' ') AS win
+       FROM (SELECT item_id, w, unnest(range(0, greatest(len(w) - 10, 0) + 1)) AS s FROM i WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT k FROM iw),
+dw AS (SELECT doc_id, k, s, array_to_string(w[s + 1 : s + k], ' ') AS win
+       FROM (SELECT doc_id, w, k, unnest(range(0, len(w) - k + 1)) AS s FROM d, sizes WHERE len(w) >= k)),
+hit AS (SELECT doc_id, dw.k, s, item_id FROM dw JOIN iw ON dw.win = iw.win AND dw.k = iw.k),
+pos AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, unnest(range(s, s + k)) AS p FROM (SELECT DISTINCT doc_id, s, k FROM hit)) GROUP BY doc_id),
+ids AS (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY id) AS l
+        FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM hit WHERE item_id IS NOT NULL) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, CAST(coalesce(pos.n, 0) AS BIGINT) AS n_hit, CAST(coalesce(ids.n, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids.l, '')) AS items_sha256, coalesce(pos.n, 0) > 0 AS contaminated
+FROM d LEFT JOIN pos USING (doc_id) LEFT JOIN ids USING (doc_id)
+""")
+def op1(spark, sf_dir):
+    found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontam.contamination_digest(found)
+
+
 @query("op6_entropy_mix")
 def op6(spark, sf_dir):
     d = mixing.mix_sources(table(spark, sf_dir, "documents"))
     return d.select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+@query("op7_blob_ledger")
+def op7(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"))
+    return secrets.scan_digest(found)
+
+
 #: turns as (conv_id, turn, role, text), null text and role empty, with the planted conversation
 _TURNS = """
 WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -55,3 +87,24 @@ def op8(spark, sf_dir):
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit("</s>[INST] ok [/INST]").alias("text"))
     return chat.chat_digest(c.unionByName(planted).withColumn("parts", chat.text_parts(F.col("text"))))
+
+
+@query("op9_line_index", """
+WITH l AS (SELECT doc_id, i, line, translate(regexp_replace(regexp_replace(line, '^[\\x20\\x09-\\x0D]+', ''), '[\\x20\\x09-\\x0D]+$', ''),
+                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+           FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                        generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) AS i FROM documents)),
+g AS (SELECT k, min(doc_id) AS keep FROM l WHERE length(k) >= 10 GROUP BY k HAVING count(DISTINCT doc_id) >= 2),
+f AS (SELECT doc_id, i, line, keep IS NOT NULL AND doc_id <> keep AS gone FROM l LEFT JOIN g USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM f GROUP BY doc_id
+""")
+def op9(spark, sf_dir):
+    d = lines.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return d.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query("op10_ngram_rules")
+def op10(spark, sf_dir):
+    return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
