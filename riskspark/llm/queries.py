@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from riskspark.llm import chat, decontam, lines, mixing, quality_rules, secrets
+from riskspark.llm import chat, decontam, linecrf, lines, mixing, quality_rules, secrets, toxicity
 from riskspark.llm.common import table
+from riskspark.llm.labelled import fold_column
 from riskspark.session import scratch_path
 
 QUERIES: dict[str, Callable] = {}
@@ -48,6 +49,20 @@ def op1(spark, sf_dir):
     return decontam.contamination_digest(found)
 
 
+@query("op2_line_crf")
+def op2(spark, sf_dir):
+    fold = fold_column(F.col("doc_id"), 4)
+    d = linecrf.quality_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), lambda c: fold_column(c, 4) != 2)
+    return d.select("doc_id", F.coalesce(fold == 2, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query("op3_toxic_segments")
+def op3(spark, sf_dir):
+    fold = fold_column(F.col("doc_id"), 5)
+    d = toxicity.toxic_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), lambda c: fold_column(c, 5) != 0)
+    return d.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
+
+
 @query("op6_entropy_mix")
 def op6(spark, sf_dir):
     d = mixing.mix_sources(table(spark, sf_dir, "documents"))
