@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from riskspark.llm import chat, decontam, linecrf, lines, mixing, quality_rules, secrets, toxicity
+from riskspark.llm import chat, decontam, linecrf, lines, mixing, ngram_join, quality_rules, secrets, toxicity
 from riskspark.llm.common import table
 from riskspark.llm.labelled import fold_column
 from riskspark.session import scratch_path
@@ -63,6 +63,22 @@ def op3(spark, sf_dir):
     return d.select("doc_id", F.coalesce(fold == 0, F.lit(False)).alias("held_out"), "score", "predicted", F.size("passages").alias("n_passages"))
 
 
+@query("op4_shingle_product", f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), {_LETTERS}), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(w[i + 1 : i + 5], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w) - 5, 0) + 1)) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT a, b FROM o JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 75 * (x.n + y.n - c)),
+e AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+r(doc_id, reach) AS (SELECT DISTINCT a, a FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.reach = e.a)
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, coalesce(m.c, d.doc_id) AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT doc_id, min(reach) AS c FROM r GROUP BY doc_id) m USING (doc_id)
+""")
+def op4(spark, sf_dir):
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
+
+
 @query("op6_entropy_mix")
 def op6(spark, sf_dir):
     d = mixing.mix_sources(table(spark, sf_dir, "documents"))
