@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from riskspark.llm import chat, decontam, linecrf, lines, mixing, ngram_join, quality_rules, secrets, toxicity
+from riskspark.llm import chat, decontam, linecrf, lines, mixing, ngram_join, passages, quality_rules, secrets, toxicity
 from riskspark.llm.common import table
 from riskspark.llm.labelled import fold_column
 from riskspark.session import scratch_path
@@ -79,6 +79,11 @@ def op4(spark, sf_dir):
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+@query("op5_compact_windows")
+def op5(spark, sf_dir):
+    return passages.repeated_passages(table(spark, sf_dir, "documents"))
+
+
 @query("op6_entropy_mix")
 def op6(spark, sf_dir):
     d = mixing.mix_sources(table(spark, sf_dir, "documents"))
