@@ -158,3 +158,10 @@ def contamination_digest(found: DataFrame) -> DataFrame:
     """Contract columns of the registered query."""
     return found.select("doc_id", "n_words", "n_hit", "n_items",
                         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
+def clean_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns as they are) without any benchmark window."""
+    bad = (contamination(docs, items).filter("contaminated").select(F.col("doc_id").alias("__d"), F.col("th").alias("__t")).distinct())
+    own = docs.withColumn("__th", F.xxhash64(F.coalesce(F.col("text"), F.lit(""))))
+    return own.join(bad, F.col("doc_id").eqNullSafe(F.col("__d")) & (F.col("__th") == F.col("__t")), "left_anti").drop("__th")

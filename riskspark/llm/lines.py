@@ -215,13 +215,14 @@ def lines_to_drop(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
     return found.groupBy("doc").agg(F.collect_set("line").alias("lines"))
 
 
-def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """All columns of ``docs`` with ``text`` rewritten, plus ``n_lines`` (before) and ``n_dropped``.
+def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS, counts: bool = True) -> DataFrame:
+    """All columns of ``docs`` with ``text`` rewritten; with ``counts`` also ``n_lines`` (before) and ``n_dropped``,
 
-    An existing column of one of these two names is replaced.
+    which then replace existing columns of these names.
     """
     drops = lines_to_drop(docs, min_chars).select(F.col("doc").alias("__doc"), F.col("lines").alias("__lines"))
-    docs = docs.drop("n_lines", "n_dropped")
+    docs = docs.drop("n_lines", "n_dropped") if counts else docs
+    extra = ["n_lines", "n_dropped"] if counts else []
     key = F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID))
     joined = docs.withColumn("__key", key).join(drops, F.col("__key") == F.col("__doc"), "left").drop("__key", "__doc")
     names, at = docs.columns, docs.columns.index("text")
@@ -251,9 +252,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
                         text.append(data[offs[k]:offs[k + 1]].tobytes())
                 columns = [b.column(c).slice(i, j - i) for c in range(len(names))]
                 columns[at] = pa.array(text, pa.binary()).cast(pa.string())
-                yield pa.record_batch(columns + [pa.array(np.diff(first), pa.int64()), pa.array(lost, pa.int64())],
-                                      names=[*names, "n_lines", "n_dropped"])
+                numbers = [pa.array(np.diff(first), pa.int64()), pa.array(lost, pa.int64())]
+                yield pa.record_batch(columns + numbers[:len(extra)], names=[*names, *extra])
 
-    schema = docs.select(*[f"`{c}`" for c in names]).schema.add("n_lines", "long").add("n_dropped", "long")
+    schema = docs.select(*[f"`{c}`" for c in names]).schema
+    for c in extra:
+        schema = schema.add(c, "long")
     schema["text"].nullable = True
     return joined.mapInArrow(run, schema)

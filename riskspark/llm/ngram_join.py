@@ -34,6 +34,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from riskspark.llm import textops as T
 from riskspark.llm.common import arrow_batches, materialize, shards
@@ -41,7 +42,8 @@ from riskspark.llm.graph import components
 
 WORDS = 5
 #: a pair links when 7 * overlap >= 3 * (size + size), that is overlap / union >= 3 / 4
-SHARE = 0.75
+#: stands for a null doc_id
+NO_ID = (1 << 63) - 1
 
 
 def _sets(data, offsets):
@@ -189,3 +191,33 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
     ids = placed.join(least, "root").select("node", "component_id")
     full = rows.filter("n > 0").join(ids, "node").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
     return full.union(rows.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
+
+
+def one_per_class(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (all columns as they are), one per class of near duplicates.
+
+    A class keeps the row of its smallest doc_id (a null id only if there is no
+    other); of repeated rows one stays.  Documents with an empty set all stay.
+    """
+    rows, entries = incidence(docs)
+    comp = components(jaccard_links(rows, entries))
+    own = rows.filter("n > 0").groupBy("node").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("r"))
+    keep = (own.join(comp, "node", "left").groupBy(F.coalesce("root", "node").alias("root")).agg(F.min("r").alias("r"))
+            .select(F.coalesce("r.doc_id", F.lit(NO_ID)).alias("__id"), F.col("r.node").alias("__node"), F.lit(True).alias("__kept")))
+    names, at = docs.columns, docs.columns.index("text")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            for i, j, data, offs in T.chunks(b.column(at)):
+                _, _, size, sig = _sets(data, offs)
+                yield pa.record_batch([b.column(c).slice(i, j - i) for c in range(len(names))]
+                                      + [pa.array(size, pa.int64()), pa.array(sig.view(np.int64))], names=[*names, "__n", "__node"])
+
+    schema = docs.select(*[f"`{c}`" for c in names]).schema.add("__n", "long").add("__node", "long")
+    marked = docs.mapInArrow(run, schema).withColumn("__id", F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)))
+    full = marked.filter("__n > 0").join(keep, ["__id", "__node"])
+    first = F.row_number().over(W.partitionBy("__id", "__node").orderBy("__n"))
+    full = full.withColumn("__copy", first).filter("__copy = 1")
+    return full.select(*[f"`{c}`" for c in names]).union(marked.filter("__n = 0").select(*[f"`{c}`" for c in names]))

@@ -188,6 +188,29 @@ def apply_rules(docs: DataFrame, model: dict, keep: float = KEEP) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)
 
 
+def keep_documents(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, keep: float = KEEP) -> DataFrame:
+    """The rows of ``docs`` (all columns as they are) that pass the rules, in one map over Arrow batches."""
+    spark = docs.sparkSession
+    arrow_batches(spark)
+    shared = spark.sparkContext.broadcast(fit(labelled_sample(docs, labels, "quality", per_class)))
+    at = docs.columns.index("text")
+
+    def run(batches):
+        import pyarrow as pa
+
+        for b in batches:
+            good = []
+            for _, _, data, offs in T.chunks(b.column(at)):
+                h, t, s, e = T.words(data, offs, fold=False)
+                c = base_counts(data, offs, h, t, s, e)
+                failed = (c["n_words"] < MIN_WORDS) | (100 * c["n_repeat_words"] > MAX_REPEAT_PERCENT * c["n_words"])
+                good.append(~failed & (score_texts(shared.value, data, offs, h, t) >= keep))
+            if good:
+                yield b.filter(pa.array(np.concatenate(good)))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def quality_rules(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE) -> DataFrame:
     arrow_batches(docs.sparkSession)
     return apply_rules(docs, fit(labelled_sample(docs, labels, "quality", per_class)))
