@@ -65,8 +65,11 @@ def suite_from_json(doc: str | dict) -> list[Expectation]:
         name = e.get("expectation_type") or e.get("type")
         kw = dict(e.get("kwargs", {}))
         col = kw.pop("column", None)
-        if name in kinds:
-            out.append(Expectation(name, kinds[name], col, kw))
+        if name == "expect_table_columns_to_match_set":
+            kw.setdefault("exact_match", True)
+        if name not in kinds:
+            raise ValueError(f"unknown expectation type {name!r}")
+        out.append(Expectation(name, kinds[name], col, kw))
     return out
 
 
@@ -90,7 +93,8 @@ def failed_flag(df: DataFrame, e: Expectation, raw: Column | None = None,
         if present is not None:
             have = F.array_sort(F.array_distinct(present))
             return ~(have == F.array(*[F.lit(x) for x in want]))
-        return F.lit(sorted(set(df.columns) & set(want)) != want or False)
+        have = set(df.columns) if p.get("exact_match", False) else set(df.columns) & set(want)
+        return F.lit(sorted(have) != want)
     if e.kind == "not_null":
         return c.isNull()
     if e.kind == "between":

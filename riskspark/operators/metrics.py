@@ -74,6 +74,9 @@ def performance(df: DataFrame, t: float = C.PERF_THRESHOLD, label: str = "true_l
     if with_auc:
         auc = roc_auc(df, score, label)
         out = out.withColumn("auc", auc.select("auc").scalar())
+    # below the guard there is no metric, only the row count and the reason
+    for c in ["precision", "recall", "f1", "tp", "fp", "tn", "fn"] + (["auc"] if with_auc else []):
+        out = out.withColumn(c, F.when(F.col("_ok"), F.col(c)))
     status = F.when(F.col("_ok"), "ok").otherwise("insufficient_data")
     return out.withColumn("status", status).withColumn(
         "reason", F.when(F.col("_ok"), "ok").otherwise("insufficient labeled data")).drop("_ok")
@@ -91,12 +94,14 @@ def roc_auc(df: DataFrame, score: str = "final_score", label: str = "label",
             one_class: float | None = None) -> DataFrame:
     """ROC AUC with ties counted 1/2; one class -> ``one_class`` (null by default).
 
-    AUC = sum_s neg_s * (pos above s + pos_s / 2) / (P * N), exact in integers.
+    AUC = sum_s neg_s * (pos above s + pos_s / 2) / (P * N), exact in DECIMAL(38,0)
+    (the products leave the bigint range from about 3e9 rows of each class).
     """
     st = cumulative(score_table(df, score, label), "s", ["pos", "neg"])
-    above = F.col("cum_total_pos") - F.col("cum_pos")
-    agg = st.agg(F.sum(F.col("neg") * above * 2 + F.col("neg") * F.col("pos")).alias("num"),
-                 F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    neg, pos = F.col("neg").cast("decimal(19,0)"), F.col("pos").cast("decimal(19,0)")
+    above = (F.col("cum_total_pos") - F.col("cum_pos")).cast("decimal(19,0)")
+    agg = st.agg(F.sum((neg * (above + above + pos)).cast("decimal(38,0)")).alias("num"),
+                 F.sum("pos").cast("decimal(19,0)").alias("P"), F.sum("neg").cast("decimal(19,0)").alias("N"))
     val = F.when((F.col("P") > 0) & (F.col("N") > 0),
                  F.col("num").cast("double") / (F.col("P") * F.col("N") * 2).cast("double"))
     if one_class is not None:
@@ -116,10 +121,10 @@ def pr_table(df: DataFrame, score: str, label: str) -> DataFrame:
 
 
 def pr_auc(df: DataFrame, score: str = "final_score", label: str = "label") -> DataFrame:
-    """Average precision = sum over thresholds of (recall step) * precision."""
+    """Average precision = sum over thresholds of (recall step) * precision; 0.0 without positives or rows."""
     t = pr_table(df, score, label)
-    return t.agg(F.round(F.sum(F.col("pos").cast("double") / F.col("P").cast("double") * F.col("precision")), 9)
-                 .alias("pr_auc"))
+    step = F.try_divide(F.col("pos").cast("double"), F.col("P").cast("double")) * F.col("precision")
+    return t.agg(F.coalesce(F.round(F.sum(step), 9), F.lit(0.0)).alias("pr_auc"))
 
 
 def best_f1_threshold(df: DataFrame, score: str = "final_score", label: str = "label") -> DataFrame:
@@ -133,11 +138,26 @@ def best_f1_threshold(df: DataFrame, score: str = "final_score", label: str = "l
 
 def precision_at(df: DataFrame, frac: float = 0.05, score: str = "final_score", label: str = "label",
                  tie: str = "event_id") -> DataFrame:
-    """Mean label of the top k = max(1, floor(frac * n)) scores (ties by ``tie``)."""
+    """Mean label of the top k = max(1, floor(frac * n)) scores (ties by ``tie``).
+
+    Whole scores above the k-th come from the table of distinct scores (partial
+    aggregation, so a hot score is one row); only the rows of the boundary score
+    are ranked, by ``tie``.
+    """
     n = df.count()
     k = max(1, int(n * frac))
-    ranked = global_rank(df.withColumn("_neg", -F.col(score)), ["_neg", tie])
-    return ranked.where(F.col("_rank") < k).agg(F.avg(F.col(label).cast("double")).alias("precision_at"))
+    lab = F.col(label).cast("double")
+    per = df.groupBy(F.col(score).cast("double").alias("s")).agg(
+        F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(lab), F.lit(0.0)).alias("hit"), F.count(lab).alias("known"))
+    c = cumulative(per.where("s is not null"), "s", ["n", "hit", "known"], descending=True)
+    above = c.where(F.col("cum_n") <= k).agg(F.sum("n").alias("n"), F.sum("hit").alias("hit"), F.sum("known").alias("known")).first()
+    edge = c.where((F.col("cum_n") > k) & (F.col("cum_n") - F.col("n") < k)).agg(F.max("s")).first()[0]
+    hit, known, taken = above["hit"] or 0.0, above["known"] or 0, above["n"] or 0
+    if edge is None or taken >= k:
+        return df.sparkSession.range(1).select(F.lit(hit / known if known else None).cast("double").alias("precision_at"))
+    ranked = global_rank(df.where(F.col(score).cast("double") == F.lit(edge)), [tie])
+    rest = ranked.where(F.col("_rank") < k - taken)
+    return rest.agg(F.try_divide(F.coalesce(F.sum(lab), F.lit(0.0)) + F.lit(hit), F.count(lab) + F.lit(known)).alias("precision_at"))
 
 
 def fpr(df: DataFrame, t: float, score: str = "final_score", label: str = "label") -> DataFrame:
@@ -229,7 +249,8 @@ def latency_summary(df: DataFrame, col: str = "latency_total", q: float = 0.95,
                     exact: bool = True) -> DataFrame:
     """Average and p95 (value at sorted index floor(q * n)).
 
-    ``exact`` uses the bucketed global rank; ``exact=False`` uses
+    ``exact`` finds the value in the running counts of the distinct values (a
+    value of a third of all rows is one row); ``exact=False`` uses
     ``percentile_approx`` (one pass, bounded memory) for very large tables.
     """
     d = df.where(F.col(col).isNotNull())
@@ -238,8 +259,8 @@ def latency_summary(df: DataFrame, col: str = "latency_total", q: float = 0.95,
         return d.agg(avg, F.percentile_approx(col, q).alias("p95_ms"))
     n = d.count()
     idx = min(max(n - 1, 0), int(q * n))
-    r = global_rank(d.select(col, F.monotonically_increasing_id().alias("_id")), [col, "_id"])
-    p = r.where(F.col("_rank") == idx).agg(F.max(col)).scalar()
+    c = cumulative(d.groupBy(F.col(col).alias("x")).agg(F.count(F.lit(1)).alias("n")), "x", ["n"])
+    p = c.where(F.col("cum_n") > idx).agg(F.min("x")).scalar()
     return d.agg(avg).withColumn("p95_ms", p)
 
 

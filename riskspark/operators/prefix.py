@@ -16,17 +16,28 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DateType, StringType, TimestampNTZType, TimestampType
 
+#: buckets at least; more where the session shuffles into more partitions, so they follow the data's size
 DEFAULT_BUCKETS = 64
 
 
+def _bucket_count(df: DataFrame, n_buckets: int | None) -> int:
+    if n_buckets is not None:
+        return n_buckets
+    return max(DEFAULT_BUCKETS, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+
+
 def _numeric_key(df: DataFrame, c: str) -> Column:
     dt = df.schema[c].dataType
     if isinstance(dt, (TimestampType, TimestampNTZType)):
         return F.unix_micros(F.col(c).cast("timestamp")).cast("double")
     if isinstance(dt, DateType):
         return F.unix_date(F.col(c)).cast("double")
+    if isinstance(dt, StringType):
+        # first six bytes as a number: same order as the text, equal prefixes share a bucket
+        head = F.substring(F.encode(F.col(c), "UTF-8"), 1, 6)
+        return F.conv(F.rpad(F.hex(head), 12, "0"), 16, 10).cast("double")
     return F.col(c).cast("double")
 
 
@@ -68,13 +79,13 @@ def _offsets(totals: list, n: int, cols: list[str]) -> dict:
 
 
 def cumulative(df: DataFrame, order_col: str, value_cols: list[str], descending: bool = False,
-               n_buckets: int = DEFAULT_BUCKETS, prefix: str = "cum_", next_col: str | None = None) -> DataFrame:
+               n_buckets: int | None = None, prefix: str = "cum_", next_col: str | None = None) -> DataFrame:
     """Running inclusive sums of ``value_cols`` in ``order_col`` order (peers included).
 
     Adds ``{prefix}{c}`` (running sum through the row's order value) and
     ``{prefix}total_{c}`` (the grand total) for each value column.
     """
-    keyed, nb = _bucketize(df, order_col, n_buckets)
+    keyed, nb = _bucketize(df, order_col, _bucket_count(df, n_buckets))
     if descending:
         keyed = keyed.withColumn("_pk_bucket", F.lit(nb - 1) - F.col("_pk_bucket"))
     totals = keyed.groupBy("_pk_bucket").agg(*[F.sum(c).alias(c) for c in value_cols],
@@ -107,11 +118,11 @@ def cumulative(df: DataFrame, order_col: str, value_cols: list[str], descending:
     return out.drop("_pk_lead", "_pk_bucket")
 
 
-def global_rank(df: DataFrame, order_cols: list[str], n_buckets: int = DEFAULT_BUCKETS,
+def global_rank(df: DataFrame, order_cols: list[str], n_buckets: int | None = None,
                 name: str = "_rank") -> DataFrame:
     """0-based position of each row in ``order_cols`` order (ties must be broken by the caller's
     columns, e.g. a unique id last)."""
-    keyed, nb = _bucketize(df, order_cols[0], n_buckets)
+    keyed, nb = _bucketize(df, order_cols[0], _bucket_count(df, n_buckets))
     totals = keyed.groupBy("_pk_bucket").agg(F.count(F.lit(1)).alias("n")).collect()
     offs = _offsets(totals, nb, ["n"])["n"]
     w = Window.partitionBy("_pk_bucket").orderBy(*[F.col(c) for c in order_cols])

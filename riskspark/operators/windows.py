@@ -9,11 +9,11 @@ Velocity features have two physical forms with identical results:
 
 ``method="prefix"``  (default) skew-safe form.  A RANGE aggregate over
     ``[ts - w, ts]`` equals ``S(ts) - S(< ts - w)`` where ``S`` is the key's
-    running total.  Each row also emits one probe per distinct window width at
+    running total.  Each instant also emits one probe per distinct window width at
     ``ts - w``.  Running totals are computed inside ``(key, time bucket)``
     partitions (so a hot key is split over its buckets) and shifted by the
     bucket's carry-in (a per-(key, bucket) total, computed with partial
-    aggregation).  Sums run in DECIMAL(38,2) so the subtraction is exact.
+    aggregation).  Sums run in DECIMAL so the subtraction is exact.
 """
 
 from __future__ import annotations
@@ -48,47 +48,55 @@ def _finish(name: str, agg: str, cnt, dsum):
 
 def velocity_features(df: DataFrame, key: str = "user_id", ts: str = "event_ts",
                       amount: str = "amount", specs=None, method: str = "prefix",
-                      row_key: str = "event_id", bucket: str = "1 day",
-                      constants: bool = True) -> DataFrame:
-    """RANGE-frame count/sum/avg per key (peers included), plus constant features."""
+                      bucket: str = "1 day", constants: bool = True, amount_scale: int = 2) -> DataFrame:
+    """RANGE-frame count/sum/avg per key (peers included), plus constant features.
+
+    Amounts are summed as decimals of ``amount_scale`` places (2: whole cents;
+    finer amounts are rounded to that), so both forms are exact and equal.
+    """
     specs = specs or C.VELOCITY_FEATURES
     if method == "window":
-        out = _velocity_window(df, key, ts, amount, specs)
+        out = _velocity_window(df, key, ts, amount, specs, amount_scale)
     else:
-        out = _velocity_prefix(df, key, ts, amount, specs, row_key, interval_micros(bucket))
+        out = _velocity_prefix(df, key, ts, amount, specs, interval_micros(bucket), amount_scale)
     if constants:
         out = out.select("*", *[F.lit(0.0).alias(c) for c in C.CONSTANT_FEATURES])
     return out
 
 
-def _velocity_window(df, key, ts, amount, specs):
+def _velocity_window(df, key, ts, amount, specs, scale=2):
     cols = []
     for name, agg, width in specs:
         frame = (f"OVER (PARTITION BY `{key}` ORDER BY `{ts}` "
                  f"RANGE BETWEEN INTERVAL {width} PRECEDING AND CURRENT ROW)")
         cnt = F.expr(f"count(`{amount}`) {frame}")
-        dsum = F.expr(f"sum(cast(`{amount}` as decimal(18,2))) {frame}")
+        dsum = F.expr(f"sum(cast(`{amount}` as decimal({16 + scale},{scale}))) {frame}")
         if agg == "count":
             cnt = F.expr(f"count(1) {frame}")
         cols.append(_finish(name, agg, cnt, dsum))
     return df.select("*", *cols)
 
 
-def _velocity_prefix(df, key, ts, amount, specs, row_key, bucket_us):
+def _velocity_prefix(df, key, ts, amount, specs, bucket_us, scale=2):
+    """Features depend on (key, instant) only: peers share one row from the start.
+
+    The rows of an instant are summed first (partial aggregation), the prefix
+    sums run over instants, and the features join back on (key, instant); no row
+    id is needed, so repeated or null ids keep their features.
+    """
     widths = sorted({interval_micros(w) for _, _, w in specs})
     t_us = F.unix_micros(F.col(ts).cast("timestamp"))
-    data = df.select(F.col(row_key).alias("_rk"), F.col(key).alias("_key"), t_us.alias("_t"),
-                     F.lit(0).alias("_kind"), F.lit(1).alias("_one"),
-                     F.col(amount).cast("decimal(18,2)").alias("_amt"),
-                     F.when(F.col(amount).isNotNull(), 1).otherwise(0).alias("_nn"))
-    # one probe per distinct width: S(< ts - w); kind = width index + 1
-    probes = data.select("_rk", "_key",
-                         F.explode(F.array(*[F.struct(F.lit(i + 1).alias("k"), F.lit(w).alias("w"))
-                                             for i, w in enumerate(widths)])).alias("_p"), "_t")
-    probes = probes.select("_rk", "_key", (F.col("_t") - F.col("_p.w")).alias("_t"),
-                           F.col("_p.k").alias("_kind"), F.lit(0).alias("_one"),
-                           F.lit(None).cast("decimal(18,2)").alias("_amt"), F.lit(0).alias("_nn"))
-    u = data.unionByName(probes).withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_us)))
+    money = f"decimal({16 + scale},{scale})"
+    data = (df.groupBy(F.col(key).alias("_key"), t_us.alias("_t"))
+              .agg(F.count(F.lit(1)).alias("_one"), F.sum(F.col(amount).cast(money)).cast(f"decimal(38,{scale})").alias("_amt"),
+                   F.count(amount).alias("_nn")))
+    # the instant itself (kind 0) and one probe per distinct width: S(< ts - w), kind = width index + 1
+    kinds = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(w).alias("w")) for i, w in enumerate([0, *widths])])
+    u = data.select("_key", F.col("_t").alias("_at"), "_one", "_amt", "_nn", F.explode(kinds).alias("_p"))
+    own = F.col("_p.k") == 0
+    u = u.select("_key", "_at", (F.col("_at") - F.col("_p.w")).alias("_t"), F.col("_p.k").alias("_kind"),
+                 F.when(own, F.col("_one")).otherwise(0).alias("_one"), F.when(own, F.col("_amt")).alias("_amt"),
+                 F.when(own, F.col("_nn")).otherwise(0).alias("_nn")).withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_us)))
     # probes sort before data rows at the same instant -> strictly-before for probes,
     # peers-included for data rows
     u = u.withColumn("_ord", F.when(F.col("_kind") == 0, 0).otherwise(-1))
@@ -106,17 +114,18 @@ def _velocity_prefix(df, key, ts, amount, specs, row_key, bucket_us):
                     F.struct("_t", "_ord"))
     tot = u.groupBy("_key", "_b").agg(last.alias("_last")).select(
         "_key", "_b", F.col("_last.c").alias("_c_tot"), F.col("_last.n").alias("_n_tot"),
-        F.coalesce(F.col("_last.s"), F.lit(0).cast("decimal(38,2)")).alias("_s_tot"))
+        F.coalesce(F.col("_last.s"), F.lit(0).cast(f"decimal(38,{scale})")).alias("_s_tot"))
     wk = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     carry = tot.select("_key", "_b",
                        F.coalesce(F.sum("_c_tot").over(wk), F.lit(0)).alias("_c_off"),
                        F.coalesce(F.sum("_n_tot").over(wk), F.lit(0)).alias("_n_off"),
-                       F.coalesce(F.sum("_s_tot").over(wk), F.lit(0).cast("decimal(38,2)")).alias("_s_off"))
-    allp = u.join(carry, ["_key", "_b"]).select(
-        "_rk", "_kind",
+                       F.coalesce(F.sum("_s_tot").over(wk), F.lit(0).cast(f"decimal(38,{scale})")).alias("_s_off"))
+    c = carry.withColumnRenamed("_key", "_ck").withColumnRenamed("_b", "_cb")
+    allp = u.join(c, F.col("_key").eqNullSafe(F.col("_ck")) & F.col("_b").eqNullSafe(F.col("_cb"))).select(
+        "_key", "_at", "_kind",
         (F.col("_c_loc") + F.col("_c_off")).alias("_C"), (F.col("_n_loc") + F.col("_n_off")).alias("_N"),
         (F.coalesce(F.col("_s_loc"), F.lit(0)) + F.col("_s_off")).alias("_S"))
-    piv = allp.groupBy("_rk").agg(*[
+    piv = allp.groupBy("_key", "_at").agg(*[
         F.max(F.when(F.col("_kind") == k, F.struct(F.col("_C").alias("c"), F.col("_N").alias("n"),
                                                    F.col("_S").alias("s")))).alias(f"_k{k}")
         for k in range(len(widths) + 1)])
@@ -128,8 +137,9 @@ def _velocity_prefix(df, key, ts, amount, specs, row_key, bucket_us):
         dsum = F.col("_k0.s") - F.col(f"_k{k}.s")
         dsum = F.when(cnt_nn > 0, dsum)
         feats.append(_finish(name, agg, cnt_rows if agg == "count" else cnt_nn, dsum))
-    fe = piv.select(F.col("_rk"), *feats)
-    return df.join(fe, df[row_key] == fe["_rk"], "left").drop("_rk")
+    fe = piv.select("_key", "_at", *feats)
+    own_t = F.unix_micros(F.col(ts).cast("timestamp"))
+    return (df.join(fe, F.col(key).eqNullSafe(F.col("_key")) & own_t.eqNullSafe(F.col("_at")), "left").drop("_key", "_at"))
 
 
 # ---------------------------------------------------------------------------
@@ -158,7 +168,9 @@ def latest_decision(df: DataFrame, event_id=None, ts: str = "created_at") -> Dat
     """Newest decision per event (or for one event id)."""
     d = df if event_id is None else df.where(F.col("event_id") == F.lit(str(event_id)))
     others = [c for c in d.columns if c != "event_id"]
-    pick = F.max_by(F.struct(*[F.col(c) for c in others]), F.col(ts))
+    # decisions of one instant: the larger row text wins, so a rerun picks the same row
+    tie = F.to_json(F.struct(*[F.col(c) for c in others]))
+    pick = F.max_by(F.struct(*[F.col(c) for c in others]), F.struct(F.col(ts), tie))
     return d.groupBy("event_id").agg(pick.alias("_r")).select("event_id", "_r.*")
 
 
@@ -171,18 +183,21 @@ def latest_overall(df: DataFrame, ts: str = "created_at", tie: str = "event_id")
 # W10 time split
 # ---------------------------------------------------------------------------
 def time_split(df: DataFrame, ts: str = "event_ts", frac: float = 0.8, tie: str = "event_id",
-               label: str | None = None, min_rows: int = 50, seed: int = 42) -> DataFrame:
+               label: str | None = None, mode: str = "time", seed: int = 42) -> DataFrame:
     """First floor(frac*n) rows in (ts, tie) order are 'train', the rest 'test'.
 
-    Fewer than ``min_rows`` rows: stratified hash split per label (M12).
+    ``mode="stratified"`` is the hash split per ``label`` (M12) for tables too
+    small to split by time; the caller chooses, the size of the table does not.
     The global rank comes from the bucketed prefix kernel, never a global window.
     """
     from .prefix import global_rank
     from .ml_prep import stratified_split
 
-    n = df.count()
-    if n < min_rows and label:
+    if mode == "stratified":
         return stratified_split(df, label, frac, seed, key=tie)
+    if mode != "time":
+        raise ValueError(f"unknown split mode {mode}")
+    n = df.count()
     cut = int(frac * n)
     r = global_rank(df, [ts, tie])
     return r.withColumn("split", F.when(F.col("_rank") < cut, "train").otherwise("test")).drop("_rank")
@@ -192,21 +207,21 @@ def time_split(df: DataFrame, ts: str = "event_ts", frac: float = 0.8, tie: str
 # V16 trailing volume (global event-time window, time-bucketed)
 # ---------------------------------------------------------------------------
 def trailing_count(df: DataFrame, ts: str = "event_ts", seconds: int = C.VOLUME_WINDOW_SECONDS,
-                   row_key: str = "event_id", bucket: str = "10 minutes",
-                   name: str = "trailing_count") -> DataFrame:
-    """Rows in ``[ts - seconds, ts]`` over the whole stream (no entity key).
+                   bucket: str = "10 minutes", name: str = "trailing_count", weight: str | None = None) -> DataFrame:
+    """Rows (or the sum of ``weight``) in ``[ts - seconds, ts]`` over the whole stream (no entity key).
 
     A plain ``ORDER BY ts`` window would put the whole table in one task; the
-    prefix form splits time into buckets with a carry-in per bucket.
+    prefix form first sums the rows of one instant, then splits time into buckets
+    with a carry-in per bucket.
     """
-    d = df.withColumn("_vol_key", F.lit(0)).withColumn("_vol_amt", F.lit(0))
-    out = velocity_features(d, key="_vol_key", ts=ts, amount="_vol_amt", row_key=row_key, bucket=bucket,
-                            specs=[(name, "count", f"{int(seconds)} seconds")], constants=False)
-    return out.drop("_vol_key", "_vol_amt")
+    d = df.withColumn("_vol_key", F.lit(0)).withColumn("_vol_amt", F.col(weight) if weight else F.lit(0))
+    out = velocity_features(d, key="_vol_key", ts=ts, amount="_vol_amt", bucket=bucket, constants=False,
+                            specs=[(name, "sum" if weight else "count", f"{int(seconds)} seconds")])
+    return out.drop("_vol_key", "_vol_amt").withColumn(name, F.col(name).cast("long"))
 
 
 def flag_volume_spike(df: DataFrame, limit: int = C.VOLUME_SPIKE_THRESHOLD, ts: str = "event_ts",
-                      seconds: int = C.VOLUME_WINDOW_SECONDS, row_key: str = "event_id") -> DataFrame:
+                      seconds: int = C.VOLUME_WINDOW_SECONDS) -> DataFrame:
     """``volume_spike`` when more than ``limit`` events fall in the trailing window."""
-    t = trailing_count(df, ts, seconds, row_key)
+    t = trailing_count(df, ts, seconds)
     return t.withColumn("volume_spike", F.col("trailing_count") > F.lit(int(limit)))

@@ -15,15 +15,14 @@ from ..session import checkpoint_dir, scratch_path
 from ..sources import fixtures as X
 from ..streaming import pipelines as ST
 from .oracle import with_ctes
+from .q_drift import _PL
+from .q_functions import proxy_sql
 from .registry import register
 
-_N = [0]
-
-
-def _name(prefix: str) -> str:
-    _N[0] += 1
-    return f"{prefix}_{_N[0]}"
-
+_DUE = ("due", """
+SELECT d.event_id, d.created_at, d.amount, d.channel, d.drift_phase, v.payload
+FROM decision_log d LEFT JOIN txn_validated v ON d.event_id = v.event_id
+WHERE d.event_id IS NOT NULL AND d.created_at <= (SELECT max(created_at) FROM decision_log) - INTERVAL 5 MINUTE""")
 
 def _land_messages(spark, sf, files: int = 10) -> str:
     """Raw JSON lines, ``files`` text files in arrival order."""
@@ -76,7 +75,7 @@ def _parsed_stream(spark, sf):
     "SELECT count(DISTINCT event_id) AS events FROM msg_flags WHERE NOT is_dead", "msg_flags"), ops="ST3")
 def st3_dedupe_stream(spark, sf):
     s = _parsed_stream(spark, sf).where(~F.col("is_dead")).withColumnRenamed("arrived_at", "ts")
-    d = ST.run_to_memory(ST.dedupe_stream(s.select("event_id", "ts"), ts="ts"), _name("dedupe"))
+    d = ST.run_to_table(ST.dedupe_stream(s.select("event_id", "ts"), ts="ts"), "dedupe")
     return d.agg(F.count(F.lit(1)).alias("events"))
 
 
@@ -88,7 +87,7 @@ SELECT max(n) AS max_events, count(*) FILTER (WHERE n > 40) AS spike_windows, co
   GROUP BY w) c""", "msg_flags"), ops="ST4 V16")
 def st4_volume_stream(spark, sf):
     s = _parsed_stream(spark, sf).where(~F.col("is_dead") & F.col("arrived_at").isNotNull())
-    v = ST.run_to_memory(ST.volume_stream(s, "arrived_at", limit=40), _name("volume"), mode="complete")
+    v = ST.run_to_table(ST.volume_stream(s, "arrived_at", limit=40), "volume", ["window_start", "window_end"])
     return v.agg(F.max("events").alias("max_events"), F.count_if("spike").alias("spike_windows"),
                  F.count(F.lit(1)).alias("windows"))
 
@@ -98,13 +97,16 @@ SELECT date_trunc('minute', created_at) AS window_start, count(*) AS requests,
        count(*) FILTER (WHERE decision IS NULL OR decision = 'unknown') AS errors
 FROM decision_log GROUP BY 1""", "decision_log"), ops="ST5")
 def st5_rate_stream(spark, sf):
-    r = ST.run_to_memory(ST.rate_stream(_decision_stream(spark, sf)), _name("rate"), mode="complete")
+    r = ST.run_to_table(ST.rate_stream(_decision_stream(spark, sf)), "rate", ["window_start"])
     return r.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "requests", "errors")
 
 
-@register("st6_latency_stream", ops="ST6")
+@register("st6_latency_stream", with_ctes("""
+SELECT window_start, list_sort(list(latency_total))[CAST(ceil(0.95 * count(*)) AS BIGINT)] AS p95_ms, count(*) AS n
+FROM (SELECT time_bucket(INTERVAL 5 MINUTE, created_at) AS window_start, latency_total FROM decision_log) d
+GROUP BY 1""", "decision_log"), ops="ST6")
 def st6_latency_stream(spark, sf):
-    r = ST.run_to_memory(ST.latency_stream(_decision_stream(spark, sf)), _name("latency"), mode="complete")
+    r = ST.run_to_table(ST.latency_stream(_decision_stream(spark, sf)), "latency", ["window_start"])
     return r.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "p95_ms", "n")
 
 
@@ -115,7 +117,7 @@ SELECT time_bucket(INTERVAL 5 MINUTE, created_at) AS window_start, fallback, cou
   UNION ALL SELECT created_at, 'rules_only' FROM decision_log WHERE fb_rules_only) f
 GROUP BY 1, 2""", "decision_log"), ops="ST7 A17")
 def st7_fallback_stream(spark, sf):
-    r = ST.run_to_memory(ST.fallback_stream(_decision_stream(spark, sf)), _name("fallback"), mode="complete")
+    r = ST.run_to_table(ST.fallback_stream(_decision_stream(spark, sf)), "fallback", ["window_start", "fallback"])
     return r.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "fallback", "n")
 
 
@@ -124,7 +126,7 @@ SELECT time_bucket(INTERVAL 5 MINUTE, created_at) AS window_start,
        CASE WHEN user_id % 100 < 20 THEN 'v2' ELSE 'v1' END AS target, count(*) AS n
 FROM decision_log GROUP BY 1, 2""", "decision_log"), ops="ST8 P24")
 def st8_canary_stream(spark, sf):
-    r = ST.run_to_memory(ST.canary_stream(_decision_stream(spark, sf)), _name("canary"), mode="complete")
+    r = ST.run_to_table(ST.canary_stream(_decision_stream(spark, sf)), "canary", ["window_start", "target"])
     return r.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "target", "n")
 
 
@@ -144,7 +146,7 @@ def st9_shadow_stream(spark, sf):
     p1, s1 = _land_table(spark, v1.join(d, "event_id"), "v1", "created_at")
     p2, s2 = _land_table(spark, v2.join(d, "event_id"), "v2", "created_at")
     j = ST.shadow_stream(spark.readStream.schema(s1).parquet(p1), spark.readStream.schema(s2).parquet(p2))
-    return ST.run_to_memory(j, _name("shadow"))
+    return ST.run_to_table(j, "shadow")
 
 
 @register("st10_score_stream", ops="ST10 J8 M1 M6 P22")
@@ -154,8 +156,7 @@ def st10_score_stream(spark, sf):
                                           "is_new_device", "is_new_ip")
     p, s = _land_table(spark, v, "events", "event_ts")
     scored = ST.score_stream(spark.readStream.schema(s).parquet(p), _snapshots(spark, sf))
-    return ST.run_to_memory(scored.select("event_id", "rules_score", "final_score", "decision", "feast_failed"),
-                            _name("score"))
+    return ST.run_to_table(scored.select("event_id", "rules_score", "final_score", "decision", "feast_failed"), "score")
 
 
 @register("st11_velocity_stream", with_ctes("""
@@ -164,11 +165,16 @@ SELECT event_id, user_txn_count_5m, user_txn_count_1h, user_amount_sum_1h FROM f
 def st11_velocity_stream(spark, sf):
     v = X.txn_validated(spark, sf).select("event_id", "user_id", "event_ts", "amount")
     p, s = _land_table(spark, v, "velocity", "event_ts")
-    out = ST.run_to_memory(ST.velocity_stream(spark.readStream.schema(s).parquet(p)), _name("velocity"))
+    out = ST.run_to_table(ST.velocity_stream(spark.readStream.schema(s).parquet(p)), "velocity")
     return out.select("event_id", "user_txn_count_5m", "user_txn_count_1h", "user_amount_sum_1h")
 
 
-@register("st12_delayed_labels", ops="ST12 F1 S11")
+@register("st12_delayed_labels", with_ctes(f"""
+SELECT label_source, label, count(*) AS n FROM (
+  SELECT coalesce({_PL}, {proxy_sql('event_id', 'drift_phase', 'amount', 'channel')}) AS label,
+         CASE WHEN {_PL} IS NOT NULL THEN '{C.GROUND_TRUTH_SOURCE}' ELSE '{C.PROXY_SOURCE}' END AS label_source
+  FROM (SELECT * FROM due QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY created_at) = 1) c) x
+GROUP BY 1, 2""", "decision_log", "txn_validated", extra=[_DUE]), ops="ST12 F1 S11")
 def st12_delayed_labels(spark, sf):
     d = X.decision_log(spark, sf).select("event_id", "created_at", "amount", "channel", "drift_phase")
     p, s = _land_table(spark, d, "decisions-lab", "created_at")

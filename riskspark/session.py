@@ -58,13 +58,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """Shared checkpoint folder.
 
     Read ``spark.checkpoint.dir`` from the session (on a cluster this names a
-    shared folder).  Only when it is unset (unit tests) do we create a private
-    local one.
+    shared folder).  Only in local mode (tests) an unset folder is replaced by a
+    private one; on a cluster that would be a folder of one machine, so it is an error.
     """
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
         d = spark.sparkContext.getCheckpointDir()
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="riskspark-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     try:
@@ -75,6 +77,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return d
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of the file system the path belongs to (not of the driver's disk)."""
+    jvm = spark.sparkContext._jvm
+    hadoop_path = jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop_path)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written intermediate tables."""
     base = checkpoint_dir(spark).rstrip("/")

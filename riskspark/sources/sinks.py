@@ -7,30 +7,20 @@ replayed micro-batch (after an executor or driver loss) adds nothing twice.
 
 from __future__ import annotations
 
-import os
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import constants as C
 from ..functions import scalar as P
 from ..functions.messages import typed_validated
 from ..operators.joins import insert_ignore
-
-
-def _table_exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
-    try:
-        spark.read.parquet(path).schema  # noqa: B018
-        return True
-    except Exception:  # noqa: BLE001
-        return False
+from ..session import path_exists
 
 
 def append_ignore(spark: SparkSession, path: str, batch: DataFrame, key: str = "event_id",
                   order: list[str] | None = None) -> int:
     """Insert rows whose key is not in the table yet; returns the exact inserted count."""
-    if _table_exists(spark, path):
+    if path_exists(spark, path):
         new = insert_ignore(spark.read.parquet(path), batch, key, order)
     else:
         from ..operators.windows import first_write
@@ -53,32 +43,68 @@ def dead_letters(parsed: DataFrame) -> DataFrame:
 
 
 def quarantine_rows(v: DataFrame, spike: str | None = None) -> DataFrame:
-    """``(event_id, reason, payload)`` for messages failing the suite."""
-    q = v.where(~F.col("is_dead") & ~F.col("is_valid"))
+    """``(event_id, reason, payload)`` for messages failing the suite or arriving in a volume spike."""
+    bad = ~F.col("is_valid") | F.col(spike) if spike else ~F.col("is_valid")
+    q = v.where(~F.col("is_dead") & bad)
     return q.select(P.quarantine_id("event_id", "raw").alias("event_id"),
                     P.failure_reason("failed", spike).alias("reason"), F.col("raw").alias("payload"),
                     *[c for c in ("arrived_at",) if c in v.columns])
 
 
-def route_sinks(spark: SparkSession, v: DataFrame, root: str, batch_id: int | None = None) -> dict:
+def flag_spikes(spark: SparkSession, v: DataFrame, root: str, batch_id: int | None, limit: int) -> DataFrame:
+    """V16 over micro-batches: ``volume_spike`` when more than ``limit`` messages arrived in the trailing window.
+
+    Messages of earlier batches count through ``root/volume_seconds`` (messages per
+    second and batch; rows of a replayed batch are not read back), so a window that
+    crosses a batch boundary is complete up to one second.
+    """
+    from ..operators.windows import trailing_count
+
+    path, number = f"{root}/volume_seconds", -1 if batch_id is None else int(batch_id)
+    second = F.date_trunc("second", F.col("arrived_at").cast("timestamp"))
+    own = (v.where(F.col("arrived_at").isNotNull()).groupBy(second.alias("second"))
+           .agg(F.count(F.lit(1)).alias("n")).withColumn("batch_id", F.lit(number).cast("long")))
+    rows = v.select("*", F.lit(1).alias("_n"), F.lit(False).alias("_earlier"))
+    if path_exists(spark, path):
+        first = own.agg(F.min("second")).scalar()
+        old = (spark.read.parquet(path).where((F.col("batch_id") != number))
+               .where((F.col("second") >= first - F.expr(f"INTERVAL {C.VOLUME_WINDOW_SECONDS} SECONDS")))
+               .groupBy("second", "batch_id").agg(F.max("n").alias("n")))
+        rows = rows.unionByName(old.select(F.col("second").cast(v.schema["arrived_at"].dataType).alias("arrived_at"),
+                                           F.col("n").cast("int").alias("_n"), F.lit(True).alias("_earlier")), allowMissingColumns=True)
+    own.write.mode("append").parquet(path)
+    t = trailing_count(rows, "arrived_at", weight="_n").where(~F.col("_earlier"))
+    spike = F.col("arrived_at").isNotNull() & (F.col("trailing_count") > F.lit(int(limit)))
+    return t.withColumn("volume_spike", spike).drop("_n", "_earlier", "trailing_count")
+
+
+def route_sinks(spark: SparkSession, v: DataFrame, root: str, batch_id: int | None = None,
+                spike_limit: int | None = None) -> dict:
     """One pass over a validated batch -> validated / quarantine / dead-letter tables.
 
-    The batch is persisted once so the three writes do not re-read the source.
+    With ``spike_limit`` messages that arrive in a volume spike go to quarantine
+    too, their reason ending in ``; volume_spike``.  The batch is persisted once so
+    the three writes do not re-read the source; all three inserts ignore keys that
+    are already there, so a replayed batch adds nothing.
     """
+    if spike_limit is not None and "arrived_at" in v.columns:
+        v = flag_spikes(spark, v, root, batch_id, spike_limit)
+    spike = "volume_spike" if "volume_spike" in v.columns else None
     v = v.persist()
     try:
-        ok = v.where("is_valid")
+        ok = v.where(F.col("is_valid") & ~F.col(spike)) if spike else v.where("is_valid")
         stamp = F.col("arrived_at") if "arrived_at" in v.columns else F.current_timestamp().cast("timestamp_ntz")
         valid = typed_validated(ok.withColumn("validated_at", stamp), extra=["validated_at"])
         n_valid = append_ignore(spark, f"{root}/txn_validated", valid, "event_id", ["validated_at"])
-        n_quar = append_ignore(spark, f"{root}/txn_quarantine", quarantine_rows(v), "event_id",
+        n_quar = append_ignore(spark, f"{root}/txn_quarantine", quarantine_rows(v, spike), "event_id",
                                ["arrived_at"] if "arrived_at" in v.columns else None)
         dead = dead_letters(v)
         if batch_id is not None:
             dead = dead.withColumn("batch_id", F.lit(batch_id))
-        n_dead = dead.count()
-        if n_dead:
-            dead.write.mode("append").parquet(f"{root}/dead_letter")
+        # equal broken lines are separate messages: the key is text, batch and number within the batch
+        number = F.row_number().over(Window.partitionBy("raw").orderBy("raw"))
+        dead = dead.withColumn("dead_id", F.sha2(F.concat_ws("|", F.lit(str(batch_id)), number.cast("string"), "raw"), 256))
+        n_dead = append_ignore(spark, f"{root}/dead_letter", dead, "dead_id")
         return {"validated": n_valid, "quarantined": n_quar, "dead_letter": n_dead}
     finally:
         v.unpersist()

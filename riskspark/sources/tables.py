@@ -8,13 +8,13 @@ later are pushed as ``PushedFilters``.  CSV is read with an explicit schema
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from .. import constants as C
+from ..session import path_exists
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,7 +27,7 @@ def read_transactions(spark: SparkSession, path: str, fmt: str | None = None,
                       schema: StructType | str | None = None) -> DataFrame:
     """S1 read by suffix (parquet / csv); S2 ordered de-duplicated column list; S4 required gate."""
     fmt = fmt or _suffix_format(path)
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         raise FileNotFoundError(f"Dataset not found at {path}")
     if fmt == "parquet":
         df = spark.read.parquet(path)
@@ -76,7 +76,7 @@ def read_profiles(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
     out = {}
     for name in ("users", "merchants", "devices", "ips"):
         p = f"{directory.rstrip('/')}/{name}.csv"
-        if _exists(spark, p):
+        if path_exists(spark, p):
             out[name] = spark.read.option("header", "true").option("inferSchema", "false").csv(p)
     return out
 
@@ -90,15 +90,4 @@ def _suffix_format(path: str) -> str:
     raise ValueError(f"unknown format for {path}")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    if "://" not in path:
-        return os.path.exists(path)
-    try:
-        jvm = spark.sparkContext._jvm
-        hp = jvm.org.apache.hadoop.fs.Path(path)
-        return hp.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hp)
-    except Exception:  # noqa: BLE001
-        return True
-
-
 REQUIRED_TXN = C.REQUIRED_COLUMNS

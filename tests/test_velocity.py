@@ -80,3 +80,32 @@ def test_hot_key_split_over_buckets(spark):
     groups = df.where("user_id = 0").select(F.floor(F.unix_micros(F.col("event_ts").cast("timestamp"))
                                                     / F.lit(86_400_000_000))).distinct().count()
     assert groups >= 20
+
+
+def test_repeated_and_null_row_ids(spark):
+    """Features belong to (key, instant): repeated ids and null ids keep their own."""
+    t0 = datetime(2024, 1, 1)
+    rows = [("a", 1, t0, 1.0), ("a", 1, t0 + timedelta(minutes=1), 2.0), (None, 1, t0 + timedelta(minutes=2), 3.0),
+            (None, 2, t0, 4.0), ("a", 2, t0, 5.0)]
+    df = spark.createDataFrame(rows, "event_id string, user_id long, event_ts timestamp_ntz, amount double")
+    a = velocity_features(df, method="window")
+    b = velocity_features(df, method="prefix", bucket="1 minute")
+    assert a.exceptAll(b).count() == 0 and b.count() == 5
+    assert sorted(r.user_txn_count_5m for r in b.collect()) == [1, 2, 2, 2, 3]
+
+
+def test_fine_amounts_with_a_wider_scale(spark):
+    t0 = datetime(2024, 1, 1)
+    df = spark.createDataFrame([("1", 1, t0, 20.0), ("2", 1, t0, 1.005)], "event_id string, user_id long, event_ts timestamp_ntz, amount double")
+    for method in ("window", "prefix"):
+        got = velocity_features(df, method=method, amount_scale=4).collect()
+        assert {r.user_amount_sum_1h for r in got} == {21.005}
+
+
+def test_velocity_plan_has_two_scans_at_most(spark):
+    from riskspark.sources.fixtures import txn_validated
+
+    out = velocity_features(txn_validated(spark, "/root/testdata/sf0.001"))
+    out.count()
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 2 * 2          # AQE prints initial and final plan
