@@ -16,28 +16,26 @@ from .oracle import decide_sql, with_ctes
 from .registry import register
 
 
-def _feature_rows(spark, sf):
-    """Feature rows of the user view: velocity features of every third event."""
-    f = W.velocity_features(X.txn_validated(spark, sf))
-    return f.where(F.col("event_id").cast("bigint") % 3 == 0)
-
-
 _FD_SQL = ("fd", """
 SELECT user_id, event_ts AS fts, max_by(user_txn_count_1h, validated_at) AS c1h,
        max_by(user_amount_sum_1h, validated_at) AS s1h, max_by(user_avg_amount_30d, validated_at) AS a30
-FROM feats WHERE eid % 3 = 0 GROUP BY 1, 2""")
+FROM feats GROUP BY 1, 2""")
+
+#: the entity rows ask for the features some minutes after their event, so other rows' features apply too
+_ASK = "INTERVAL 7 MINUTE"
 
 
-@register("j1_asof", with_ctes("""
+@register("j1_asof", with_ctes(f"""
 SELECT e.event_id, e.user_id, e.event_ts,
        CASE WHEN f.fts >= e.event_ts - INTERVAL 2 HOUR THEN f.c1h END AS user_txn_count_1h,
        CASE WHEN f.fts >= e.event_ts - INTERVAL 2 HOUR THEN f.s1h END AS user_amount_sum_1h,
        CASE WHEN f.fts >= e.event_ts - INTERVAL 2 HOUR THEN f.a30 END AS user_avg_amount_30d
-FROM txn_validated e ASOF LEFT JOIN fd f ON e.user_id = f.user_id AND e.event_ts >= f.fts""",
+FROM (SELECT event_id, user_id, event_ts + {_ASK} AS event_ts FROM txn_validated) e
+ASOF LEFT JOIN fd f ON e.user_id = f.user_id AND e.event_ts >= f.fts""",
                                "txn_validated", "feats", extra=[_FD_SQL]), ops="J1")
 def j1_asof(spark, sf):
-    ent = X.txn_validated(spark, sf).select("event_id", "user_id", "event_ts")
-    feats = _feature_rows(spark, sf).select("user_id", "event_ts", "validated_at", "user_txn_count_1h",
+    ent = X.txn_validated(spark, sf).select("event_id", "user_id", (F.col("event_ts") + F.expr(_ASK)).alias("event_ts"))
+    feats = W.velocity_features(X.txn_validated(spark, sf)).select("user_id", "event_ts", "validated_at", "user_txn_count_1h",
                                              "user_amount_sum_1h", "user_avg_amount_30d")
     return J.asof_join(ent, feats, "user_id", ts="event_ts", created="validated_at", ttl="2 hours",
                        bucket="1 hour")

@@ -79,12 +79,17 @@ def m3_train_logreg(spark, sf):
     return MD.score_model(model, s.where("split = 'test'"), feats, "score").select("event_id", "label", "score")
 
 
-@register("m4_single_class", with_ctes("SELECT event_id, CAST(0 AS DOUBLE) AS score FROM txn_labels WHERE label = 0",
-                                       "txn_labels"), ops="M4")
+@register("m4_single_class", with_ctes(
+    "SELECT event_id, label, CAST(label AS DOUBLE) AS score FROM txn_labels WHERE label IN (0, 1)", "txn_labels"), ops="M4")
 def m4_single_class(spark, sf):
-    neg = X.txn_labels(spark, sf).where("label = 0").withColumn("amount", F.lit(1.0))
-    model = MD.train_gbt(neg, ["amount"], "label", max_iter=5)
-    return MD.score_model(model, neg, ["amount"], "score").select("event_id", "score")
+    """Training on one class alone, negatives or positives, gives that class's constant score."""
+    out = None
+    for only in (0, 1):
+        rows = X.txn_labels(spark, sf).where(f"label = {only}").withColumn("amount", F.length("event_id").cast("double"))
+        model = MD.train_gbt(rows, ["amount"], "label", max_iter=5)
+        scored = MD.score_model(model, rows, ["amount"], "score").select("event_id", "label", "score")
+        out = scored if out is None else out.unionByName(scored)
+    return out
 
 
 @register("m5_isolation_forest", ops="M5")
