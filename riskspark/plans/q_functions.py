@@ -448,10 +448,15 @@ def p33_quarantine_id(spark, sf):
     return t.select(P.quarantine_id(blanked, raw).alias("quarantine_id"))
 
 
-@register("p35_to_payload", ops="P35")
+@register("p35_to_payload", with_ctes(f"""
+SELECT event_id, {len(C.REQUIRED_COLUMNS)} AS fields, user_id, amount, country, channel FROM txn_validated""", "txn_validated"), ops="P35")
 def p35_to_payload(spark, sf):
+    """Payloads read back: every required field is there with its value."""
     t = X.txn_validated(spark, sf)
-    return t.select("event_id", P.to_payload(t, C.REQUIRED_COLUMNS).alias("payload"))
+    p = t.select(P.to_payload(t, C.REQUIRED_COLUMNS).alias("payload"))
+    got = F.from_json("payload", "event_id string, user_id bigint, amount double, country string, channel string")
+    return p.select(got.alias("j"), F.size(F.json_object_keys("payload")).alias("fields")).select(
+        "j.event_id", "fields", "j.user_id", "j.amount", "j.country", "j.channel")
 
 
 @register("v1_expect_columns", with_ctes(f"""

@@ -37,16 +37,25 @@ def s3_invalid_timestamps(spark, sf):
     return T.invalid_timestamp_count(t, "event_ts")
 
 
-@register("s4_required_gate", ops="S4 V1 U2")
+@register("s4_required_gate", with_ctes("""
+SELECT 'complete' AS source, count(*) AS rows, '' AS missing FROM txn
+UNION ALL SELECT 'without currency', 0, 'currency' FROM (SELECT 1) x""", "txn"), ops="S4 V1 U2")
 def s4_required_gate(spark, sf):
-    from ..functions.expectations import expect_columns
-    t = X.txn(spark, sf)
+    """The gate reads a table that has all required columns and refuses one that lacks some."""
+    path = scratch_path(spark, "required-gate")
+    t = X.txn(spark, sf).select(*C.REQUIRED_COLUMNS)
+    t.write.parquet(f"{path}/complete.parquet")
+    t.drop("currency").write.parquet(f"{path}/lacking.parquet")
+    read = T.read_transactions(spark, f"{path}/complete.parquet", required=C.REQUIRED_COLUMNS)
+    rows = read.agg(F.count(F.lit(1)).alias("rows")).select(F.lit("complete").alias("source"), "rows", F.lit("").alias("missing"))
     try:
-        T.read_transactions(spark, f"{sf}/events.parquet", required=C.REQUIRED_COLUMNS)
-        gate = "passed"
+        T.read_transactions(spark, f"{path}/lacking.parquet", required=C.REQUIRED_COLUMNS)
+        missing = ""
     except ValueError as e:
-        gate = str(e)
-    return expect_columns(t.drop("currency")).withColumn("events_table_gate", F.lit(gate))
+        missing = ",".join(c for c in C.REQUIRED_COLUMNS if c in str(e))
+    refused = spark.range(1).select(F.lit("without currency").alias("source"), F.lit(0).cast("bigint").alias("rows"),
+                                    F.lit(missing).alias("missing"))
+    return rows.unionByName(refused)
 
 
 @register("p1_canonical_event", with_ctes("""
@@ -89,7 +98,13 @@ def s10_to_decision_log(spark, sf):
                                           "served_by")
 
 
-@register("s12_s13_reports", ops="S12 S13")
+@register("s12_s13_reports", with_ctes(f"""
+SELECT '{P.parse_time(X.AS_OF).strftime("%Y%m%d_%H%M%S")}' AS as_of, coalesce(served_by, 'unknown') AS model, count(*) AS count,
+       round(avg(final_score), 6) AS avg_score,
+       CAST(count(*) FILTER (WHERE decision = 'block') AS DOUBLE) / count(*) AS block_rate
+FROM decision_log
+WHERE created_at >= TIMESTAMP '{X.AS_OF}' - INTERVAL 60 MINUTE AND created_at < TIMESTAMP '{X.AS_OF}'
+GROUP BY 2""", "decision_log"), ops="S12 S13")
 def s12_s13_reports(spark, sf):
     from ..operators.metrics import compare_models
     checkpoint_dir(spark)
@@ -97,7 +112,11 @@ def s12_s13_reports(spark, sf):
     d = X.decision_log(spark, sf)
     for as_of in ("2024-01-01T05:00:00", X.AS_OF):
         SK.write_report(compare_models(d.where(P.in_window("created_at", as_of, 1))), root, as_of, "compare")
-    return SK.latest_report(spark, root, "compare")
+        SK.write_report(compare_models(d.where(P.in_window("created_at", as_of, 1))), root, as_of, "compare_csv", "csv")
+    # the newest run of both formats: JSON for the rates, CSV for the counts
+    j, c = SK.latest_report(spark, root, "compare"), SK.latest_report(spark, root, "compare_csv", "csv")
+    return j.select(F.col("as_of").cast("string").alias("as_of"), "model", "avg_score", "block_rate").join(
+        c.select("model", F.col("count").cast("bigint").alias("count")), "model")
 
 
 @register("s14_read_profiles", ops="S14 J9")
