@@ -17,16 +17,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write ``df`` once as Parquet into the shared scratch folder and read it back.
 
     The folder is below ``spark.checkpoint.dir``, so a lost executor loses
     nothing and the written table cuts the lineage.  The schema is handed over
-    (no inference job, and an empty result keeps its columns).
+    (no inference job, and an empty result keeps its columns).  ``free`` lets the
+    driver collect its garbage after a large write: Spark removes the shuffle
+    files of a finished plan only then.
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.mode("overwrite").parquet(path)
+    if free:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -45,8 +49,11 @@ def shards(spark: SparkSession) -> int:
 
 
 def ascii_lower(col):
-    """A-Z to a-z only; other letters keep their case (``lower`` would change them too)."""
-    return F.translate(col, UPPER, LOWER)
+    """A-Z to a-z only; other letters keep their case (``lower`` would change them too).
+
+    ``lower`` does just that on pure ASCII text, several times faster than ``translate``.
+    """
+    return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
 
 
 def ws_words(col):
