@@ -24,7 +24,7 @@ from riskspark.llm.common import arrow_batches
 from riskspark.llm.labelled import labelled_sample, platt, sigmoid
 
 #: labelled rows per class used for the fit
-SAMPLE = 2000
+SAMPLE = 1200
 DIM = 1 << 17
 #: fixed thresholds of the rules
 KEEP, MIN_WORDS, MAX_REPEAT_PERCENT = 0.5, 50, 50
@@ -133,10 +133,11 @@ def fit(sample: DataFrame) -> dict:
     lists = t.column("idx").combine_chunks()
     n = np.diff(lists.offsets.to_numpy())
     idx, val = lists.flatten().to_numpy(), t.column("val").combine_chunks().flatten().to_numpy()
-    row = np.repeat(np.arange(len(y)), n)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), n)
+    del t, lists
     held = np.arange(len(y)) % 4 == 3
     seen = ~held[row]
-    si, sr, sv = idx[seen], row[seen], val[seen].astype(float)
+    si, sr, sv = idx[seen], row[seen], val[seen]
     balance = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * ~held
     w, bias = np.zeros(3 * DIM), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
