@@ -31,6 +31,8 @@ ignored.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -166,16 +168,27 @@ def jaccard_links(rows: DataFrame, entries: DataFrame) -> DataFrame:
              .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct())
     first = materialize(verify(stars, matrix), "jaccard-links")
     comp = components(first)
-    # rows of one column that are not yet in one component: pair components, then their members
-    placed = (prefix.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node")))
+    # Rows of one column that are not yet in one component: pair components, then their members.
+    # With na <= nb the bound reads nb <= cap(a) and na <= cap(b), cap = 7/3 of what follows less n; so the
+    # smaller row has cap >= n, and its partners lie in its own or the next size class (ratio 4/3).
+    placed = (prefix.join(comp, "node", "left").withColumn("root", F.coalesce("root", "node"))
+              .withColumn("cap", F.floor((F.col("n") - F.col("pos")) * 7 / 3) - F.col("n"))
+              .withColumn("z", F.floor(F.log(F.col("n").cast("double")) / F.lit(math.log(4 / 3)) + F.lit(1e-9)).cast("int")))
     open_cols = placed.groupBy("col").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("col")
-    groups = materialize(placed.join(open_cols, "col", "left_semi").groupBy("col", "root")
-                         .agg(F.collect_list(F.struct("node", "n", "pos")).alias("g")), "jaccard-open")
-    x = groups.select("col", F.col("root").alias("ra"), F.col("g").alias("ga"))
-    y = groups.select(F.col("col").alias("col_b"), F.col("root").alias("rb"), F.col("g").alias("gb"))
-    cross = (x.join(y, (F.col("col") == F.col("col_b")) & (F.col("ra") < F.col("rb")))
-             .select(F.explode("ga").alias("p"), "gb").select("p", F.explode("gb").alias("q"))
-             .filter(_may_link(F.col("p.n"), F.col("p.pos"), F.col("q.n"), F.col("q.pos")))
+    rows_open = materialize(placed.join(open_cols, "col", "left_semi"), "jaccard-open")
+
+    def grouped(df, tag):
+        g = df.groupBy("col", "z", "root").agg(F.min("n").alias("n"), F.max("cap").alias("cap"),
+                                               F.collect_list(F.struct("node", "n", "pos")).alias("g"))
+        return g.select(*[F.col(c).alias(c + tag) for c in ("col", "z", "root", "n", "cap", "g")])
+
+    small = rows_open.filter(F.col("cap") >= F.col("n")).withColumn("z", F.explode(F.array(F.col("z"), F.col("z") + 1)))
+    x, y = grouped(small, "_a"), grouped(rows_open, "_b")
+    cross = (x.join(y, (F.col("col_a") == F.col("col_b")) & (F.col("z_a") == F.col("z_b")) & (F.col("root_a") != F.col("root_b"))
+                    & (F.col("n_b") <= F.col("cap_a")) & (F.col("n_a") <= F.col("cap_b")))
+             .select(F.explode("g_a").alias("p"), "g_b")
+             .select("p", F.explode(F.filter("g_b", lambda q: (F.col("p.n") <= q["n"]) & _may_link(
+                 F.col("p.n"), F.col("p.pos"), q["n"], q["pos"]))).alias("q"))
              .select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct())
     cross = cross.join(stars, ["a", "b"], "left_anti")
     return materialize(first.union(verify(cross, matrix)), "jaccard-links")
