@@ -6,11 +6,12 @@ words, but not none, is one window).  A window is a set of shingles of
 ``SHINGLE`` consecutive words; it occurs in a document where all of them do, in
 place.  With containment 1 the necessary prefix of a window is one shingle, so
 
-1. count, over all documents, the shingles that benchmark windows hold
-   (broadcast of the benchmark's distinct shingles, partial aggregation, no
-   shuffle of words) and order each window's shingles by rarity; a shingle that
-   occurs nowhere rules its windows out;
-2. join document positions with the windows' rarest shingles only;
+1. one pass over all documents writes the positions that hold a shingle of the
+   benchmark, each with the words around it (broadcast of the benchmark's distinct
+   shingles, no shuffle of words);
+2. the positions are counted per shingle and each window's shingles ordered by
+   rarity; a shingle that occurs nowhere rules its windows out, of the others the
+   rarest one is joined with its positions;
 3. length bound: the document has at least the window's words; positional bound:
    the window put at the match begins and ends inside the document;
 4. verify the slice of document words against the window, word by word.
@@ -84,53 +85,63 @@ def _doc_key(k: int) -> Column:
     return F.when((p > 0) & (p + (k - 1) <= F.col("n")), _key(F.col("words"), p, k))
 
 
-def rarity(docs: DataFrame, shingles: DataFrame, k: int) -> DataFrame:
-    """key, freq: occurrences in all documents of the benchmark's shingles of k words."""
-    wanted = F.broadcast(shingles.select("key").distinct())
-    return (_positions(docs).select(_doc_key(k).alias("key")).join(wanted, "key")
-            .groupBy("key").agg(F.count(F.lit(1)).alias("freq")))
-
-
-def prefix_shingles(docs: DataFrame, wins: DataFrame, k: int) -> DataFrame:
-    """The necessary prefix of every window that can occur: its rarest shingle (key, off, wid, window)."""
-    s = window_shingles(wins, k)
-    ranked = s.join(F.broadcast(rarity(docs, s, k)), "key", "left").withColumn("freq", F.coalesce("freq", F.lit(0)))
-    return (ranked.groupBy("wid").agg(F.min_by(F.struct("key", "off", "window", "freq"), F.struct("freq", "key", "off")).alias("m"))
-            .filter("m.freq > 0").select("wid", "m.key", "m.off", "m.window"))
-
-
-def occurrences(docs: DataFrame, wins: DataFrame, sizes: list[int], with_docs: bool) -> DataFrame:
-    """doc_id, th, n, wid, start (1-based), len of every verified window; wid is null on the document's own row."""
-    pos = _positions(docs)
-    out = []
-    for k in sizes or [SHINGLE]:
-        own = with_docs and not out
-        if not sizes:
-            m = pos.filter("pos = 0").select("doc_id", "th", "n", F.lit(None).cast("long").alias("wid"),
-                                             F.lit(None).cast("int").alias("start"), F.lit(None).cast("int").alias("len"))
-            return m
-        prefix = F.broadcast(materialize(prefix_shingles(docs, wins, k), "decon-prefix"))
-        m = pos.withColumn("key", _doc_key(k)).join(prefix, "key", "left" if own else "inner")
-        start, size = F.col("pos") - F.col("off"), F.size("window")
-        hit = (F.col("wid").isNotNull() & (F.col("n") >= size) & (start >= 1) & (start + size - 1 <= F.col("n"))
-               & (F.slice("words", start + 1, size) == F.col("window")))
-        m = m.filter((F.col("pos") == 0) | hit) if own else m.filter(hit)
-        out.append(m.select("doc_id", "th", "n", "wid", start.alias("start"), F.when(F.col("wid").isNotNull(), size).alias("len")))
-    return reduce(DataFrame.unionByName, out)
+def shingle_matches(docs: DataFrame, shingles: DataFrame, sizes: list[int], width: int) -> DataFrame:
+    """Document positions that hold one of the benchmark's shingles, and row 0 of every document.
+
+    One pass over the texts: (doc_id, th, n, pos, key, at, context); ``context``
+    are the words from position ``at`` that a window through the shingle can reach.
+    """
+    pos, own = _positions(docs), F.col("pos") == 0
+    if len(sizes) == 1:
+        pos = pos.withColumn("key", _doc_key(sizes[0]))
+    else:
+        keys = F.array_compact(F.array(*[_doc_key(k) for k in sizes])) if sizes else F.array().cast("array<bigint>")
+        pos = pos.withColumn("key", F.explode(F.when(own, F.array(F.lit(None).cast("long"))).otherwise(keys)))
+    least = min(sizes, default=1)
+    at = F.greatest(F.col("pos") - (width - least), F.lit(1))
+    wanted = F.broadcast(shingles.select(F.col("key").alias("wanted")).distinct())
+    return (pos.join(wanted, F.col("key") == F.col("wanted"), "left").filter(own | F.col("wanted").isNotNull())
+            .select("doc_id", "th", "n", "pos", "key", at.alias("at"),
+                    F.when(~own, F.slice("words", at + 1, F.lit(2 * width))).alias("context")))
+
+
+def prefix_shingles(shingles: DataFrame, matches: DataFrame) -> DataFrame:
+    """The necessary prefix of every window that can occur: its rarest shingle over all documents (wid, key, off, window)."""
+    freq = matches.filter("pos > 0").groupBy("key").agg(F.count(F.lit(1)).alias("freq"))
+    return (shingles.join(freq, "key", "left").withColumn("freq", F.coalesce("freq", F.lit(0)))
+            .groupBy("wid").agg(F.min_by(F.struct("key", "off", "window"), F.struct("freq", "key", "off")).alias("m"),
+                                F.min("freq").alias("freq"))
+            .filter("freq > 0").select("wid", "m.key", "m.off", "m.window"))
+
+
+def occurrences(matches: DataFrame, prefix: DataFrame) -> DataFrame:
+    """doc_id, th, wid, start (1-based), len of every window that is verified word by word."""
+    start, size = F.col("pos") - F.col("off"), F.size("window")
+    hit = ((F.col("n") >= size) & (start >= 1) & (start + size - 1 <= F.col("n"))
+           & (F.slice("context", start - F.col("at") + 1, size) == F.col("window")))
+    return (matches.filter("pos > 0").join(F.broadcast(prefix), "key").filter(hit)
+            .select("doc_id", "th", "wid", start.alias("start"), size.alias("len")))
 
 
 def contamination(docs: DataFrame, items: DataFrame, width: int = WINDOW, block: int = BLOCK) -> DataFrame:
     """doc_id, n_words, n_hit, n_items, items (ids as strings, sorted), contaminated, one row per document row."""
-    wins = windows(items, width)
-    distinct = materialize(wins.groupBy("window").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
+    distinct = materialize(windows(items, width).groupBy("window").agg(F.collect_set(F.col("item_id").cast("string")).alias("ids"))
                            .withColumn("wid", F.monotonically_increasing_id()), "decon-windows")
     stats = distinct.agg(F.count(F.lit(1)).alias("n"), F.collect_set(F.least(F.size("window"), F.lit(SHINGLE))).alias("ks")).first()
-    blocks = max(1, -(-stats["n"] // block))
-    found = reduce(DataFrame.unionByName, [
-        occurrences(docs, distinct.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b) if blocks > 1 else distinct,
-                    sorted(stats["ks"]), b == 0) for b in range(blocks)])
+    sizes, blocks = sorted(stats["ks"]), max(1, -(-stats["n"] // block))
+    found = None
+    for b in range(blocks):
+        wins = distinct.filter(F.pmod(F.xxhash64("window"), F.lit(blocks)) == b)
+        shingles = reduce(DataFrame.unionByName, [window_shingles(wins, k) for k in sizes or [SHINGLE]])
+        matches = materialize(shingle_matches(docs, shingles, sizes, width), "decon-matches")
+        hits = occurrences(matches, prefix_shingles(shingles, matches)).withColumn("n", F.lit(None).cast("int"))
+        if b == 0:
+            own = matches.filter("pos = 0").select("doc_id", "th", "n")
+            found = own.unionByName(hits, allowMissingColumns=True)
+        else:
+            found = found.unionByName(hits)
     per_doc = found.groupBy("doc_id", "th").agg(
-        F.max("n").alias("n"), F.count_if(F.col("wid").isNull()).alias("copies"),
+        F.max("n").alias("n"), F.count("n").alias("copies"),
         F.array_sort(F.collect_set(F.when(F.col("wid").isNotNull(), F.struct("start", "len")))).alias("spans"),
         F.collect_set("wid").alias("wids"))
     per_doc = materialize(per_doc.withColumn("n_hit", _covered(F.col("spans"))).drop("spans"), "decon-docs")
