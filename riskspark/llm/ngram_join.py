@@ -179,14 +179,15 @@ def jaccard_links(rows: DataFrame, entries: DataFrame) -> DataFrame:
 
     def grouped(df, tag):
         g = df.groupBy("col", "z", "root").agg(F.min("n").alias("n"), F.max("cap").alias("cap"),
-                                               F.collect_list(F.struct("node", "n", "pos")).alias("g"))
+                                               F.collect_list(F.struct("node", "n", "pos", "cap")).alias("g"))
         return g.select(*[F.col(c).alias(c + tag) for c in ("col", "z", "root", "n", "cap", "g")])
 
     small = rows_open.filter(F.col("cap") >= F.col("n")).withColumn("z", F.explode(F.array(F.col("z"), F.col("z") + 1)))
     x, y = grouped(small, "_a"), grouped(rows_open, "_b")
     cross = (x.join(y, (F.col("col_a") == F.col("col_b")) & (F.col("z_a") == F.col("z_b")) & (F.col("root_a") != F.col("root_b"))
                     & (F.col("n_b") <= F.col("cap_a")) & (F.col("n_a") <= F.col("cap_b")))
-             .select(F.explode("g_a").alias("p"), "g_b")
+             # only members that the other group's extremes allow come out, so a large component meets no outsider in vain
+             .select(F.explode(F.filter("g_a", lambda p: (p["cap"] >= F.col("n_b")) & (p["n"] <= F.col("cap_b")))).alias("p"), "g_b")
              .select("p", F.explode(F.filter("g_b", lambda q: (F.col("p.n") <= q["n"]) & _may_link(
                  F.col("p.n"), F.col("p.pos"), q["n"], q["pos"]))).alias("q"))
              .select(F.least("p.node", "q.node").alias("a"), F.greatest("p.node", "q.node").alias("b")).distinct())
