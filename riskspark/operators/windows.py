@@ -214,7 +214,9 @@ def trailing_count(df: DataFrame, ts: str = "event_ts", seconds: int = C.VOLUME_
     prefix form first sums the rows of one instant, then splits time into buckets
     with a carry-in per bucket.
     """
-    d = df.withColumn("_vol_key", F.lit(0)).withColumn("_vol_amt", F.col(weight) if weight else F.lit(0))
+    # one key for all rows that the optimizer does not fold away, so the carry table keeps its partitioning
+    one_key = F.pmod(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(1))
+    d = df.withColumn("_vol_key", one_key).withColumn("_vol_amt", F.col(weight) if weight else F.lit(0))
     out = velocity_features(d, key="_vol_key", ts=ts, amount="_vol_amt", bucket=bucket, constants=False,
                             specs=[(name, "sum" if weight else "count", f"{int(seconds)} seconds")])
     return out.drop("_vol_key", "_vol_amt").withColumn(name, F.col(name).cast("long"))
