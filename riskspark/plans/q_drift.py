@@ -254,7 +254,7 @@ def f4_retrain_trigger_drift(spark, sf):
 def f5_feedback_loop(spark, sf):
     d, v, lab = X.decision_log(spark, sf), X.txn_validated(spark, sf), X.txn_labels(spark, sf)
     drift = FB.drift_detected(FB.drift_reports(d, AS_OF))
-    _, _, trig = FB.feedback_loop(d, v, lab, AS_OF_L, drift)
+    _, _, trig, _ = FB.feedback_loop(d, v, lab, AS_OF_L, drift)
     return trig
 
 
