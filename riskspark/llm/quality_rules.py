@@ -24,8 +24,10 @@ from riskspark.llm.common import arrow_batches
 from riskspark.llm.labelled import labelled_sample, platt, sigmoid
 
 #: labelled rows per class used for the fit
-SAMPLE = 1200
+SAMPLE = 2000
 DIM = 1 << 17
+#: entries of the sample that one step of the fit has in memory as products
+PART = 1 << 20
 #: fixed thresholds of the rules
 KEEP, MIN_WORDS, MAX_REPEAT_PERCENT = 0.5, 50, 50
 EPOCHS, RATE, L2 = 120, 0.5, 1e-6
@@ -120,6 +122,14 @@ def _featurize(batches):
                 names=["y", "weight", "key", "idx", "val"])
 
 
+def _summed(to, at, val, x, n):
+    """Sums of val * x[at] by ``to``, a part at a time, so the products never stand in memory whole."""
+    out = np.zeros(n)
+    for i in range(0, len(to), PART):
+        out += np.bincount(to[i:i + PART], val[i:i + PART] * x[at[i:i + PART]], minlength=n)
+    return out
+
+
 def fit(sample: DataFrame) -> dict:
     """Fit and calibrate on a bounded sample: weights of 3 * DIM n-gram buckets, bias, Platt slope and offset."""
     t = sample.select("y", "weight", "key", "text").mapInArrow(
@@ -136,21 +146,19 @@ def fit(sample: DataFrame) -> dict:
     row = np.repeat(np.arange(len(y), dtype=np.int32), n)
     del t, lists
     held = np.arange(len(y)) % 4 == 3
-    seen = ~held[row]
-    si, sr, sv = idx[seen], row[seen], val[seen]
     balance = np.where(y == 1, 0.5 / max(1, y.sum()), 0.5 / max(1, (1 - y).sum())) * ~held
     w, bias = np.zeros(3 * DIM), 0.0
     m, v, mb, vb = np.zeros_like(w), np.zeros_like(w), 0.0, 0.0
     for k in range(1, EPOCHS + 1):
-        p = sigmoid(np.bincount(sr, sv * w[si], minlength=len(y)) + bias)
-        g = balance * (p - y)
-        gw, gb = np.bincount(si, sv * g[sr], minlength=len(w)) + L2 * w, g.sum()
+        p = sigmoid(_summed(row, idx, val, w, len(y)) + bias)
+        g = balance * (p - y)                   # 0 for held rows, so no copy of the others is needed
+        gw, gb = _summed(idx, row, val, g, len(w)) + L2 * w, g.sum()
         m, v = 0.9 * m + 0.1 * gw, 0.99 * v + 0.01 * gw * gw
         mb, vb = 0.9 * mb + 0.1 * gb, 0.99 * vb + 0.01 * gb * gb
         c1, c2 = 1 - 0.9 ** k, 1 - 0.99 ** k
         w -= RATE * (m / c1) / (np.sqrt(v / c2) + 1e-8)
         bias -= 0.1 * RATE * (mb / c1) / (np.sqrt(vb / c2) + 1e-8)
-    raw = np.bincount(row, val * w[idx], minlength=len(y)) + bias
+    raw = _summed(row, idx, val, w, len(y)) + bias
     a, b = platt(raw[held], y[held], weight[held])
     return {"w": w.astype(np.float32), "bias": float(bias), "a": a, "b": b}
 
