@@ -22,7 +22,10 @@ exact copies cost one row.  Two rows link when 100 * overlap >= 75 * union.
    follow; then, per column, only rows of different components are paired, so
    every remaining link that could join two components is checked.
 
-The result is exact up to 64-bit hash collisions.  Edge cases: null, empty or
+So the result is the components, not the list or number of all links: links inside
+a component are skipped, and overlaps are intersected per candidate pair rather
+than summed over a whole product.  It is exact up to hash collisions: 64 bits for
+a document's set, 32 bits and log2(blocks) for a shingle.  Edge cases: null, empty or
 wordless text is an empty set, linked with nothing; null doc_id rows are
 returned, and a component without any id has a null component_id; repeated rows
 are returned as often; an empty table gives an empty result; other columns are
