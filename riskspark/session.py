@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -85,16 +86,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written intermediate tables."""
-    base = checkpoint_dir(spark).rstrip("/")
-    return f"{base}/riskspark/{name}-{os.getpid()}-{next(_SEQ)}"
-
-
-def _seq():
-    i = 0
-    while True:
-        i += 1
-        yield i
+    """A new sub-folder of the shared checkpoint folder for one written intermediate table.
 
-
-_SEQ = _seq()
+    The name holds the application's id and a random part: drivers in containers
+    commonly share a process id, and two applications (or a rerun) on one shared
+    folder must not meet each other's tables or stream checkpoints.
+    """
+    base = checkpoint_dir(spark).rstrip("/")
+    return f"{base}/riskspark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"

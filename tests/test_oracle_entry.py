@@ -17,10 +17,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_operator_ids():
-    from riskspark.plans.registry import OPERATORS
+    from riskspark.plans.catalog import OPERATORS, QUERIES
     q = E.queries()
     assert len(q) >= 100
-    assert all(OPERATORS[k] for k in q)
+    assert set(QUERIES) <= set(q)
+    assert all(OPERATORS[k] for k in QUERIES)
     assert set(E.oracle_sql()) <= set(q)
 
 
@@ -29,3 +30,10 @@ def test_oracle_match_small(spark, name):
     from tools.oracle_check import compare
     res = compare(spark, "/root/testdata/sf0.001", [name], verbose=False)
     assert res[name][0] == "ok", res[name]
+
+
+def test_scratch_folders_of_two_applications_differ(spark):
+    """Process id and call count may be the same in two containers: the names must differ all the same."""
+    from riskspark.session import scratch_path
+    names = {scratch_path(spark, "t") for _ in range(5)}
+    assert len(names) == 5 and all(spark.sparkContext.applicationId in n for n in names)
