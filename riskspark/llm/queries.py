@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from riskspark.llm import chat, decontam, linecrf, lines, mixing, ngram_join, passages, quality_rules, secrets, toxicity
+from riskspark.llm import chat, decontam, linecrf, lines, mixing, ngram_join, passages, quality_rules, repetition, secrets, toxicity
 from riskspark.llm.common import table
 from riskspark.llm.labelled import fold_column
 from riskspark.session import scratch_path
@@ -144,3 +144,9 @@ def op9(spark, sf_dir):
 @query("op10_ngram_rules")
 def op10(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op12_frequency_split")
+def op12(spark, sf_dir):
+    docs = repetition.plant_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return repetition.run_digest(repetition.collapse_runs(docs))

@@ -158,3 +158,49 @@ def secret_spans(text):
         if len(m[0]) >= 24:
             out.append((m.start(), 2, "hex", m.end()))
     return [f"{k}:{s}:{e}" for s, _, k, e in sorted(out)]
+
+
+def planted_words(doc_id, text):
+    """Words of a document behind the planted repetition of the run query."""
+    import binascii
+
+    w = words(text)
+    if doc_id is None or not w:
+        return w
+    h = binascii.crc32(str(doc_id).encode())
+    if h % 10:
+        return w
+    g, n = h // 10, len(w)
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [x if i < a else w[a + (i - a) % p] for i, x in enumerate(w)]
+
+
+def periodic_runs(w, shortest=24):
+    """All runs (start, length, period) by trying every period; the smallest period of equal stretches stays."""
+    best = {}
+    for q in range(1, len(w) // 3 + 1):
+        i = 0
+        while i + q < len(w):
+            if w[i] != w[i + q]:
+                i += 1
+                continue
+            j = i
+            while j + q < len(w) and w[j] == w[j + q]:
+                j += 1
+            if j + q - i >= max(shortest, 3 * q):
+                best.setdefault((i, j + q), q)
+            i = j
+    return sorted((s, e - s, q) for (s, e), q in best.items())
+
+
+def run_digest(doc_id, w):
+    runs = periodic_runs(w)
+    drop = {i for s, n, q in runs for i in range(s + q, s + n)}
+    top = None
+    for s, n, q in runs:
+        if top is None or n * top[2] > top[1] * q:
+            top = (s, n, q)
+    best = (*top, 1000 * top[1] // top[2]) if top else (None,) * 4
+    return (doc_id, len(runs), *best, sha("".join(f"{s},{n},{q}\n" for s, n, q in runs)),
+            sha(" ".join(x for i, x in enumerate(w) if i not in drop)))
