@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from riskspark.llm import chat, decontam, linecrf, lines, mixing, ngram_join, passages, quality_rules, repetition, secrets, toxicity
+from riskspark.llm import chat, decontam, linecrf, lines, mixing, ngram_join, passages, quality_rules, repetition, secrets, tokenfiles, toxicity
 from riskspark.llm.common import table
 from riskspark.llm.labelled import fold_column
 from riskspark.session import scratch_path
@@ -150,3 +150,12 @@ def op10(spark, sf_dir):
 def op12(spark, sf_dir):
     docs = repetition.plant_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return repetition.run_digest(repetition.collapse_runs(docs))
+
+
+@query("op13_context_mixing")
+def op13(spark, sf_dir):
+    import public_tokenizers
+
+    path = scratch_path(spark, "token-files")
+    tokenfiles.write_tokens(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return tokenfiles.read_documents(spark, path)

@@ -53,7 +53,7 @@ def _powers(n: int):
     return _POWERS["up"], _POWERS["down"], _POWERS["byte"]
 
 
-def chunks(column):
+def chunks(column, size: int = CHUNK):
     """Yield (first row, last row, bytes as uint8, offsets) over an Arrow string array; null is empty."""
     import pyarrow as pa
 
@@ -70,7 +70,7 @@ def chunks(column):
     data = np.frombuffer(bufs[2], np.uint8) if bufs[2] is not None and bufs[2].size else np.zeros(0, np.uint8)
     a = 0
     while a < n:
-        b = max(a + 1, int(np.searchsorted(offs, offs[a] + CHUNK, "right")) - 1)
+        b = max(a + 1, int(np.searchsorted(offs, offs[a] + size, "right")) - 1)
         yield a, b, data[offs[a]:offs[b]], offs[a:b + 1] - offs[a]
         a = b
 
