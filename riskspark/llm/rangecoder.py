@@ -52,8 +52,10 @@ LOW_MASK, WORD_MASK = (1 << LOW_BITS) - 1, (1 << WORD_BITS) - 1
 #: joint contexts of an event: confidence of order 2, confidence of order 1, event before (four values each)
 JOINT = 64
 #: ids between two updates of the event counts, and counts that stand for a context not met yet
-STRIDE, START = 256, np.array([3, 3, 6, 20])
+STRIDE, START = 512, np.array([3, 3, 6, 20])
 FIRST_REFRESH = 32
+#: positions whose order-0 frequencies the encoder looks up at once
+STRETCH = 256
 _TABLES = _Cache()
 
 
@@ -64,7 +66,6 @@ def _prior(vocab: int):
         freq = 1 + ((1 << PRIOR_BITS) - vocab) * share // int(share.sum())
         freq[0] += (1 << PRIOR_BITS) - int(freq.sum())
         _TABLES["prior", vocab] = np.append(0, np.cumsum(freq))
-        _TABLES["place", vocab] = np.repeat(np.arange(vocab, dtype=np.uint16), freq)
     return _TABLES["prior", vocab]
 
 
@@ -120,10 +121,8 @@ class _Model:
         mixed = sum(p * self.weight[k, :a, None, None] for k, p in enumerate(self.shares)) >> SCALE_BITS
         self.mixed = mixed
         cum = np.cumsum((mixed[:, :, :3] * (EVENT_TOTAL - 64) >> SCALE_BITS) + 1, axis=2)
-        self.cum = np.zeros((a, JOINT, 5), np.int64)
-        self.cum[:, :, 1:4], self.cum[:, :, 4] = cum, EVENT_TOTAL
-        self.flat = self.cum.reshape(-1)
-        self.packed = (cum[:, :, 0] | (cum[:, :, 1] << 16) | (cum[:, :, 2] << 32)).reshape(-1)
+        #: ends of the four events' intervals, 16 bits each
+        self.packed = (cum[:, :, 0] | (cum[:, :, 1] << 16) | (cum[:, :, 2] << 32) | (EVENT_TOTAL << 48)).reshape(-1)
 
     def learn(self, a: int):
         """Counts and mixture weights from the ids since the last call; then the new mixture of the ``a`` blocks left."""
@@ -156,13 +155,17 @@ class _Model:
         self.row = row
         return entry >> 2, row
 
-    def interval(self, row: np.ndarray, event: np.ndarray):
+    @staticmethod
+    def interval(packed: np.ndarray, event: np.ndarray):
         """Start and length of the events' intervals."""
-        at = row * 5
-        at += event
-        low = self.flat.take(at)
-        at += 1
-        return low, self.flat.take(at) - low
+        shift = event << 4
+        low = packed << 16
+        low >>= shift
+        low &= 0xFFFF
+        high = packed >> shift
+        high &= 0xFFFF
+        high -= low
+        return low, high
 
     def update(self, a: int, ids: np.ndarray, event: np.ndarray, right: np.ndarray):
         more = self.entry + (self.level < 3)
@@ -175,8 +178,8 @@ class _Model:
 
 
 def _learns(t: int) -> bool:
-    """Positions before which the event counts are brought up to date."""
-    return t > 0 and (t % STRIDE == 0 or t < STRIDE and t >= 16 and t & (t - 1) == 0)
+    """Positions before which the event counts are brought up to date: whenever the length doubles, and every STRIDE ids."""
+    return t >= 16 and (t % STRIDE == 0 or t < STRIDE and t & (t - 1) == 0)
 
 
 class _Seen:
@@ -187,7 +190,6 @@ class _Seen:
         keys = np.sort(((np.arange(lanes, dtype=np.int64) << 16) | ids).reshape(-1))
         first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
         self.keys, self.cum, self.size, self.bits = keys[first], np.append(first, len(keys)), size, size.bit_length() - 1
-        self.place = None
 
     def find(self, lane, ids):
         """(seen, cumulative count inside the block, count)."""
@@ -195,12 +197,22 @@ class _Seen:
         at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
         return self.keys[at] == key, self.cum[at] - lane * self.size, self.cum[at + 1] - self.cum[at]
 
-    def pick(self, lane, place):
-        """(id, cumulative count, count) at a place of the block's counts."""
-        if self.place is None:
-            self.place = np.repeat(np.arange(len(self.keys), dtype=np.int32), np.diff(self.cum))
-        at = self.place.take(lane * self.size + place)
-        return self.keys[at] & 0xFFFF, self.cum[at] - lane * self.size, self.cum[at + 1] - self.cum[at]
+    def lookup(self, vocab: int):
+        """Tables for the decoder: place -> entry, and id, start and length of every entry; new ids first."""
+        place, ids, cum, freq = _plain_lookup(vocab)
+        count = np.diff(self.cum)
+        return (np.concatenate([place, np.repeat(np.arange(vocab, vocab + len(count), dtype=np.int32), count)]),
+                np.concatenate([ids, (self.keys & 0xFFFF).astype(np.int32)]),
+                np.concatenate([cum, (self.cum[:-1] - (self.keys >> 16) * self.size).astype(np.int32)]),
+                np.concatenate([freq, count.astype(np.int32)]))
+
+
+def _plain_lookup(vocab: int):
+    if ("place", vocab) not in _TABLES:
+        prior = _prior(vocab)
+        freq, ids = np.diff(prior).astype(np.int32), np.arange(vocab, dtype=np.int32)
+        _TABLES["place", vocab] = np.repeat(ids, freq), ids, prior[:-1].astype(np.int32), freq
+    return _TABLES["place", vocab]
 
 
 def _refresh(t: int) -> bool:
@@ -209,7 +221,7 @@ def _refresh(t: int) -> bool:
 
 def _stretch(t: int) -> int:
     """The end of the positions from t on whose order-0 counts do not change."""
-    return max(FIRST_REFRESH, min(2 * t, t + STRIDE))
+    return max(FIRST_REFRESH, min(2 * t, t + STRETCH))
 
 
 def _active(sizes: np.ndarray) -> list[int]:
@@ -244,7 +256,7 @@ def _encode_lanes(ids: np.ndarray, sizes: np.ndarray, vocab: int) -> list[np.nda
         a = active[t]
         if _refresh(t):
             seen = _Seen(ids[:t, :a])
-        if t % STRIDE == 0 or _refresh(t):               # events and frequencies of the plain part, for a stretch
+        if t % STRETCH == 0 or _refresh(t):              # events and frequencies of the plain part, for a stretch
             part = ids[t:_stretch(t), :a]
             cum, freq = prior[part].astype(np.int32), prior_freq[part]
             bits, plain = np.full(part.shape, PRIOR_BITS, np.int8), np.full(part.shape, 3, np.int8)
@@ -258,7 +270,7 @@ def _encode_lanes(ids: np.ndarray, sizes: np.ndarray, vocab: int) -> list[np.nda
         guess, row = model.guess(a)
         right = guess == x + 1
         event = np.where(right[0], 0, np.where(right[1], 1, plan[0][t - begin, :a]))
-        put(slice(0, a), *model.interval(row, event), EVENT_BITS)
+        put(slice(0, a), *model.interval(model.packed.take(row), event), EVENT_BITS)
         at = np.flatnonzero(event >= 2)
         if len(at):
             put(at, *(p[t - begin, at] for p in plan[1:]))
@@ -275,7 +287,7 @@ def _encode_lanes(ids: np.ndarray, sizes: np.ndarray, vocab: int) -> list[np.nda
 def _decode_lanes(words: list[np.ndarray], sizes: np.ndarray, vocab: int) -> np.ndarray:
     """Ids (position, block) of payloads, longest block first."""
     lanes, longest = len(sizes), int(sizes[0])
-    prior, model = _prior(vocab), _Model(lanes)
+    lookup, model = _plain_lookup(vocab), _Model(lanes)
     w = np.zeros((lanes, max(map(len, words)) + 3), np.int64)
     for k, x in enumerate(words):
         w[k, :len(x)] = x
@@ -304,6 +316,7 @@ def _decode_lanes(words: list[np.ndarray], sizes: np.ndarray, vocab: int) -> np.
         a = active[t]
         if _refresh(t):
             seen = _Seen(ids[:t, :a])
+            lookup = seen.lookup(vocab)
         if _learns(t):
             model.learn(a)
         guess, row = model.guess(a)
@@ -313,31 +326,37 @@ def _decode_lanes(words: list[np.ndarray], sizes: np.ndarray, vocab: int) -> np.
         packed = model.packed.take(row)
         event = (place >= (packed & 0xFFFF)).astype(np.int64)
         event += place >= (packed >> 16 & 0xFFFF)
-        event += place >= packed >> 32
-        take(head, step, *model.interval(row, event))
+        event += place >= (packed >> 32 & 0xFFFF)
+        take(head, step, *model.interval(packed, event))
         x = np.where(event == 0, guess[0], guess[1]).astype(np.int64) - 1
-        for kind in (2, 3):
-            at = np.flatnonzero(event == kind)
-            if not len(at):
-                continue
-            if kind == 2 and seen is None:
+        at = np.flatnonzero(event >= 2)
+        if len(at):
+            old = event[at] == 2
+            if seen is None and old.any():
                 raise ValueError("token block is damaged")
-            bits = seen.bits if kind == 2 else PRIOR_BITS
+            bits = np.where(old, seen.bits if seen else 0, PRIOR_BITS)
             step = width[at] >> bits
             place = np.minimum(rest[at] // step, (1 << bits) - 1)
-            if kind == 2:
-                x[at], c, f = seen.pick(at, place)
-            else:
-                new = _TABLES["place", vocab].take(place).astype(np.int64)
-                x[at], c = new, prior.take(new)
-                f = prior.take(new + 1) - c
-            take(at, step, c, f)
+            if seen:
+                place += np.where(old, (at << seen.bits) + (1 << PRIOR_BITS), 0)
+            entry = lookup[0].take(place)
+            x[at] = lookup[1].take(entry)
+            take(at, step, lookup[2].take(entry), lookup[3].take(entry))
         x = np.maximum(x, 0)                             # only a damaged block takes a guess that is not there
         ids[t, :a] = x
         model.update(a, x, event, guess == x + 1)
     return ids
 
 
+def _turned(x: np.ndarray) -> np.ndarray:
+    """Transposed copy, in tiles that stay in the cache."""
+    out = np.empty(x.shape[::-1], x.dtype)
+    for i in range(0, x.shape[0], 64):
+        for j in range(0, x.shape[1], 64):
+            out[j:j + 64, i:i + 64] = x[i:i + 64, j:j + 64].T
+    return out
+
+
 def encode_blocks(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
     """Coded blocks of id arrays (1 to ``BLOCK`` ids below ``vocab`` each), in the same order."""
     if vocab > MAX_VOCAB:
@@ -349,10 +368,10 @@ def encode_blocks(blocks: list[np.ndarray], vocab: int) -> list[bytes]:
         if sizes.min() < 1 or sizes.max() > BLOCK or max(int(x.max()) for x in part) >= vocab:
             raise ValueError("a block holds 1 to BLOCK ids of the vocabulary")
         order = np.argsort(-sizes, kind="stable")
-        ids = np.zeros((int(sizes.max()), len(part)), np.int64)
+        ids = np.zeros((len(part), int(sizes.max())), np.int32)
         for lane, b in enumerate(order):
-            ids[:sizes[b], lane] = part[b]
-        for b, words in zip(order, _encode_lanes(ids, sizes[order], vocab)):
+            ids[lane, :sizes[b]] = part[b]
+        for b, words in zip(order, _encode_lanes(_turned(ids).astype(np.int64), sizes[order], vocab)):
             payload = words.tobytes()
             out[k + b] = struct.pack(HEADER, MAGIC, vocab, len(part[b]), len(words), zlib.crc32(part[b].astype("<u4").tobytes()),
                                      zlib.crc32(payload)) + payload
@@ -374,9 +393,9 @@ def decode_blocks(blocks: list[bytes]) -> list[np.ndarray]:
             part.append((vocab, n, crc, np.frombuffer(payload, "<u4")))
         for vocab in {p[0] for p in part}:
             mine = sorted((i for i, p in enumerate(part) if p[0] == vocab), key=lambda i: -part[i][1])
-            ids = _decode_lanes([part[i][3] for i in mine], np.array([part[i][1] for i in mine], np.int64), vocab)
+            ids = _turned(_decode_lanes([part[i][3] for i in mine], np.array([part[i][1] for i in mine], np.int64), vocab).astype(np.int32))
             for lane, i in enumerate(mine):
-                x = ids[:part[i][1], lane].astype("<u4")
+                x = ids[lane, :part[i][1]].astype("<u4")
                 if zlib.crc32(x.tobytes()) != part[i][2]:
                     raise ValueError("token block is damaged: its ids have another checksum")
                 out[k + i] = x

@@ -21,8 +21,8 @@ linear, so a piece's checksum moved over the ids behind it adds (xor) to the doc
 A missing or damaged block is an error.  Starts are running totals per shard: the totals (one
 number per file) pass the driver.
 
-Tokenizing splits a text before single spaces between two other visible characters,
-where a byte-level BPE never joins anything, and encodes every distinct piece once per
+Tokenizing splits a text at places where the byte-level BPE's word pattern never joins anything
+(single spaces and line ends between visible characters, stops behind letters), and encodes every distinct piece once per
 worker; the ids equal those of the whole text (``split`` = False encodes whole texts, for
 tokenizers without that property).  The cache is emptied at ``CACHE`` pieces.
 
@@ -49,8 +49,10 @@ from riskspark.llm.common import arrow_batches, shards
 
 END_ID = 2
 #: distinct pieces a worker remembers
-CACHE = 400_000
+CACHE = 600_000
 TEXT_CHUNK = 4 << 20
+STOP = np.zeros(256, bool)
+STOP[list(b".,;:!?)")] = True
 
 
 class Tokenizer:
@@ -74,37 +76,43 @@ class Tokenizer:
         encode = getattr(self.file, "encode_batch_fast", self.file.encode_batch)
         return [e.ids for e in encode(texts, add_special_tokens=False)]
 
-    def _encode(self, pieces: list[str]) -> list:
-        """Ids of pieces.  Many go through the library in one call, parted by line ends (one id of their own)."""
+    def _encode(self, pieces: list[str]):
+        """(pieces in another order, their ids one after the other, ids of each).
+
+        Many go through the library in one call, parted by line ends (one id of their own).
+        """
+        order, flat, sizes, rest = [], [], [], []
         if self.newline is None or not self.split:
-            return self._plain(pieces)
-        out: list = [None] * len(pieces)
-        simple = [i for i, p in enumerate(pieces) if (r := p[1:] if p[0] == " " else p) and r.split() == [r]]
-        for k in range(0, len(simple), 1024):
-            group = simple[k:k + 1024]
-            ids = np.array(self._plain(["\n".join(pieces[i] for i in group)])[0], np.int32)
-            cut = np.flatnonzero(ids == self.newline)
-            if len(cut) != len(group) - 1:
-                continue                               # these go one by one
-            for i, x in zip(group, np.split(ids, cut)):
-                out[i] = x[1:] if i != group[0] else x
-        rest = [i for i, x in enumerate(out) if x is None]
-        for i, x in zip(rest, self._plain([pieces[i] for i in rest])):
-            out[i] = x
-        return out
+            rest = pieces
+        else:
+            simple = []
+            for p in pieces:
+                (simple if (r := p[1:] if p[0] == " " else p) and r.split() == [r] else rest).append(p)
+            for k in range(0, len(simple), 1024):
+                group = simple[k:k + 1024]
+                ids = np.array(self._plain(["\n".join(group)])[0], np.int32)
+                cut = np.flatnonzero(ids == self.newline)
+                if len(cut) != len(group) - 1:           # these go one by one
+                    rest += group
+                    continue
+                order += group
+                flat.append(np.delete(ids, cut))
+                sizes.append(np.diff(cut, prepend=-1, append=len(ids)) - 1)
+        single = self._plain(rest)
+        flat += [np.asarray(x, np.int32) for x in single]
+        sizes.append(np.array([len(x) for x in single], np.int64))
+        return order + rest, np.concatenate(flat), np.concatenate(sizes)
 
     def _add(self, pieces: list[str]):
-        new = self._encode(pieces)
-        n, at = len(self.known), self.begin[len(self.known)]
-        sizes = np.array([len(x) for x in new], np.int64)
-        ends = at + np.cumsum(sizes)
-        while ends[-1] > len(self.flat):
+        pieces, ids, sizes = self._encode(pieces)
+        n, at = len(self.known), int(self.begin[len(self.known)])
+        while at + len(ids) > len(self.flat):
             self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-        while n + len(new) >= len(self.begin):
+        while n + len(sizes) >= len(self.begin):
             self.begin = np.concatenate([self.begin, np.zeros_like(self.begin)])
-        self.flat[at:ends[-1]] = np.concatenate([np.asarray(x, np.int32) for x in new])
-        self.begin[n + 1:n + 1 + len(new)] = ends
-        self.known.update(zip(pieces, range(n, n + len(new))))
+        self.flat[at:at + len(ids)] = ids
+        self.begin[n + 1:n + 1 + len(sizes)] = at + np.cumsum(sizes)
+        self.known.update(zip(pieces, range(n, n + len(pieces))))
 
     def encode(self, data: np.ndarray, offsets: np.ndarray, end_id: int = END_ID):
         """(ids, ids per text) of a chunk of texts, the end id behind each text."""
@@ -114,7 +122,8 @@ class Tokenizer:
         if len(self.known) > CACHE:
             self._empty()
         cuts = _cuts(data) if self.split else np.zeros(0, np.int64)
-        at = np.unique(np.concatenate([offsets, cuts]))
+        at = np.sort(np.concatenate([offsets, cuts]))
+        at = at[np.append(True, at[1:] != at[:-1])]
         if len(at) < 2:
             return np.full(n, end_id, np.int32), np.ones(n, np.int64)
         pieces = pa.Array.from_buffers(pa.string(), len(at) - 1, [None, pa.py_buffer(at.astype(np.int32)), pa.py_buffer(data)])
@@ -122,32 +131,40 @@ class Tokenizer:
         words = coded.dictionary.to_pylist()
         if missing := [w for w in words if w not in self.known]:
             self._add(missing)
-        known = self.known
-        word = np.fromiter((known[w] for w in words), np.int64, len(words))[coded.indices.to_numpy()]
-        size = self.begin[word + 1] - self.begin[word]
-        text = np.searchsorted(offsets, at[:-1], "right") - 1
-        behind = np.cumsum(size)
-        place = np.repeat(self.begin[word] - (behind - size), size) + np.arange(behind[-1])
-        count = np.bincount(text, size, minlength=n).astype(np.int64) + 1
-        out = np.full(int(behind[-1]) + n, end_id, np.int32)
-        keep = np.ones(len(out), bool)
-        keep[np.cumsum(count) - 1] = False
-        out[keep] = self.flat[place]
+        known, use = self.known, coded.indices.to_numpy()
+        word = np.fromiter((known[w] for w in words), np.int64, len(words))
+        begin = self.begin[word]
+        size = (self.begin[word + 1] - begin).astype(np.int32)[use]
+        behind = np.cumsum(size, dtype=np.int32)
+        place = np.repeat(begin.astype(np.int32)[use] - (behind - size), size)
+        place += np.arange(len(place), dtype=np.int32)
+        ends = np.append(0, behind)[np.searchsorted(at, offsets)]        # of the texts, in ids of pieces
+        count = np.diff(ends).astype(np.int64) + 1
+        out = np.insert(self.flat[place], ends[1:], end_id)
         return out, count
 
 
 def _cuts(data: np.ndarray) -> np.ndarray:
-    """Spaces with a visible character on both sides.
+    """Places where a piece may begin.
 
-    Visible for sure: ASCII above the space, and two-byte characters but for lead byte C2;
-    ahead also four-byte ones and three-byte ones with a lead byte above E3 (no white space there).
+    Before spaces with a visible character on both sides; visible for sure are ASCII above the space and
+    two-byte characters but for lead byte C2, ahead also four-byte ones and three-byte ones with a
+    lead byte above E3 (no white space there).  Before a stop behind an ASCII letter.  Before and
+    behind a line end between two visible ASCII characters.
     """
     at = np.flatnonzero(data == 0x20)
     at = at[(at > 1) & (at < len(data) - 1)]
     before, second, ahead = data[at - 1], data[at - 2], data[at + 1]
     left = ((before > 0x20) & (before < 0x7F)) | ((before >= 0x80) & (second >= 0xC3) & (second <= 0xDF))
     right = ((ahead > 0x20) & (ahead < 0x7F)) | ((ahead >= 0xC3) & (ahead <= 0xDF)) | (ahead >= 0xE4)
-    return at[left & right]
+    stop = np.flatnonzero(STOP[data])
+    stop = stop[stop > 0]
+    letter = data[stop - 1] | 0x20
+    line = np.flatnonzero(data == 0x0A)
+    line = line[(line > 0) & (line < len(data) - 1)]
+    before, ahead = data[line - 1], data[line + 1]
+    line = line[(before > 0x20) & (before < 0x7F) & (ahead > 0x20) & (ahead < 0x7F)]
+    return np.concatenate([at[left & right], stop[(letter >= 0x61) & (letter <= 0x7A)], line, line + 1])
 
 
 def tokenizer(path: str, split: bool = True) -> Tokenizer:
