@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators: thin digests over whole tables, with DuckDB SQL where SQL can say it."""
+"""Registered queries of the operators: thin digests over whole tables, with DuckDB SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import functions as F
 
-from riskspark.llm import chat, decontam, linecrf, lines, mixing, ngram_join, passages, quality_rules, repetition, secrets, tokenfiles, toxicity
+from riskspark.llm import chat, decontam, dialogue, linecrf, lines, mixing, ngram_join, passages, quality_rules, repetition, secrets, tokenfiles, toxicity
 from riskspark.llm.common import table
 from riskspark.llm.labelled import fold_column
 from riskspark.session import scratch_path
@@ -146,6 +146,13 @@ def op10(spark, sf_dir):
     return quality_rules.quality_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+@query("op11_rank_viterbi")
+def op11(spark, sf_dir):
+    c = table(spark, sf_dir, "conversations")
+    rows, chunks = dialogue.repair(dialogue.damage(c))
+    return dialogue.repair_digest(c, rows, chunks)
+
+
 @query("op12_frequency_split")
 def op12(spark, sf_dir):
     docs = repetition.plant_runs(table(spark, sf_dir, "documents").select("doc_id", "text"))
