@@ -1,96 +1,19 @@
-"""Per-event attribution for tree ensembles (M14, tree path).
+"""Per-event attribution of a fitted Spark ML ensemble (M14, tree path).
 
-The fitted GBT is saved once (Spark ML writer) into the shared checkpoint
-folder and its node table is read back with ``spark.read.parquet`` -- a table
-bounded by the model size (trees x nodes), so it is broadcast.  Scoring runs in
-``mapInPandas`` over Arrow batches: every tree is walked with numpy for the
-whole batch and, at each split on the path, the change of the node value is
-credited to the split feature (path attribution).  Per event,
-``sum(contributions) + base == raw margin`` holds exactly.
+``attribute_trees`` reads the fitted model's node table (bounded by its size) and gives
+exact path-dependent Shapley values of the raw margin in long form; see ``tree_model``
+for the algorithm and for the forms that do not blow rows up by the number of features.
 """
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ..session import scratch_path
-
-
-def tree_table(model) -> tuple[list, list]:
-    """(node rows, tree weights) of a fitted GBT / random-forest model."""
-    from pyspark.sql import SparkSession
-
-    spark = SparkSession.getActiveSession()
-    path = scratch_path(spark, "gbt-model")
-    model.write().overwrite().save(path)
-    nodes = spark.read.parquet(f"{path}/data").select(
-        "treeID", F.col("nodeData.id").alias("id"), F.col("nodeData.prediction").alias("prediction"),
-        F.col("nodeData.leftChild").alias("left"), F.col("nodeData.rightChild").alias("right"),
-        F.col("nodeData.split.featureIndex").alias("feature"),
-        F.try_element_at(F.col("nodeData.split.leftCategoriesOrThreshold"), F.lit(1)).alias("threshold"))
-    rows = [tuple(r) for r in nodes.collect()]  # bounded by model size
-    return rows, list(model.treeWeights)
-
-
-def _arrays(rows, weights):
-    by_tree: dict[int, list] = {}
-    for r in rows:
-        by_tree.setdefault(int(r[0]), []).append(r)
-    out = []
-    for t, rs in sorted(by_tree.items()):
-        n = max(int(r[1]) for r in rs) + 1
-        pred = np.zeros(n)
-        left = -np.ones(n, dtype=int)
-        right = -np.ones(n, dtype=int)
-        feat = -np.ones(n, dtype=int)
-        thr = np.zeros(n)
-        for _, i, p, lft, rgt, f, th in rs:
-            i = int(i)
-            pred[i], left[i], right[i] = p, lft, rgt
-            feat[i] = f if lft >= 0 and f is not None else -1
-            thr[i] = th if th is not None else 0.0
-        out.append((weights[t] if t < len(weights) else 1.0, pred, left, right, feat, thr))
-    return out
+from .tree_model import from_spark_ml, shap_long
 
 
 def attribute_trees(df: DataFrame, model, features: list[str], key: str = "event_id") -> DataFrame:
-    """Long ``(event_id, feature, contribution)`` plus a ``__base__`` row per event."""
-    rows, weights = tree_table(model)
-    bc = df.sparkSession.sparkContext.broadcast((rows, weights))
-    nf = len(features)
-    x = df.select(F.col(key).cast("string").alias("_key"),
-                  *[F.coalesce(F.col(f"`{c}`").cast("double"), F.lit(0.0)).alias(f"f{i}")
-                    for i, c in enumerate(features)])
-
-    def run(batches):
-        trees = _arrays(*bc.value)
-        for pdf in batches:
-            xs = pdf[[f"f{i}" for i in range(nf)]].to_numpy(dtype=float)
-            n = len(pdf)
-            contrib = np.zeros((n, nf))
-            base = np.zeros(n)
-            idx = np.arange(n)
-            for w, pred, left, right, feat, thr in trees:
-                node = np.zeros(n, dtype=int)
-                base += w * pred[0]
-                while True:
-                    f = feat[node]
-                    internal = f >= 0
-                    if not internal.any():
-                        break
-                    val = xs[idx, np.where(internal, f, 0)]
-                    nxt = np.where(val <= thr[node], left[node], right[node])
-                    nxt = np.where(internal, nxt, node)
-                    delta = w * (pred[nxt] - pred[node])
-                    np.add.at(contrib, (idx[internal], f[internal]), delta[internal])
-                    node = nxt
-            long = pd.DataFrame(contrib, columns=features)
-            long["_key"] = pdf["_key"].to_numpy()
-            long["__base__"] = base
-            yield long.melt(id_vars="_key", var_name="feature", value_name="contribution")
-
-    out = x.mapInPandas(run, "_key string, feature string, contribution double")
-    return out.withColumnRenamed("_key", key)
+    """Long ``(event_id, feature, contribution)`` plus a ``__base__`` row per event; their sum is the raw margin."""
+    spark = df.sparkSession
+    return shap_long(df, from_spark_ml(model, features, spark, scratch_path(spark, "gbt-model")), key)

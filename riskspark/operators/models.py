@@ -37,18 +37,34 @@ def assemble(df: DataFrame, features: list[str], out: str = "features_vec") -> D
 
 def train_gbt(df: DataFrame, features: list[str], label: str = "label", weight: str | None = None,
               max_iter: int = 400, step: float = 0.05, depth: int = 6, subsample: float = 0.8,
-              colsample: str = "0.8", seed: int = 42):
-    """M2 (+M4): gradient-boosted trees; a single-class label gives a constant-prior model."""
+              colsample: str = "0.8", seed: int = 42, validation: float = 0.2, tolerance: float = 0.01):
+    """M2 (+M4): gradient-boosted trees; a single-class label gives a constant-prior model.
+
+    ``validation`` is the share of rows (by a hash of their values, the same on every run) that is held out to
+    end the boosting once a further tree lowers its error by less than ``tolerance``; 0 always grows ``max_iter``
+    trees.  The assembled features are written once (Parquet, shared folder) and read by all rounds.
+    """
     from pyspark.ml.classification import GBTClassifier
 
-    classes = df.agg(F.countDistinct(label).alias("k"), F.avg(F.col(label).cast("double")).alias("p")).first()
+    from ..session import scratch_path
+
+    held = F.pmod(F.xxhash64(F.lit(seed), *[F.col(f"`{c}`") for c in features]), F.lit(10_000)) < F.lit(int(validation * 10_000))
+    d = df.withColumn("_held", held)
+    classes = d.agg(F.countDistinct(label).alias("k"), F.avg(F.col(label).cast("double")).alias("p"), F.count_if("_held").alias("held"),
+                    F.countDistinct(F.when(~F.col("_held"), F.col(label))).alias("k_train")).first()
     if classes["k"] < 2:
         return ConstantModel(float(classes["p"] or 0.0))
     gbt = GBTClassifier(featuresCol="features_vec", labelCol=label, maxIter=max_iter, stepSize=step,
                         maxDepth=depth, subsamplingRate=subsample, featureSubsetStrategy=colsample, seed=seed)
     if weight:
         gbt = gbt.setWeightCol(weight)
-    return gbt.fit(assemble(df.withColumn(label, F.col(label).cast("double")), features))
+    x = assemble(d.withColumn(label, F.col(label).cast("double")), features).select("features_vec", label, "_held", *([weight] if weight else []))
+    path = scratch_path(df.sparkSession, "gbt-input")
+    x.write.parquet(path)
+    x = df.sparkSession.read.schema(x.schema).parquet(path)
+    if validation and classes["held"] and classes["k_train"] > 1:
+        gbt = gbt.copy({gbt.validationIndicatorCol: "_held", gbt.validationTol: tolerance})
+    return gbt.fit(x)
 
 
 def train_logreg(df: DataFrame, features: list[str], label: str = "label", weight: str | None = "weight"):
@@ -95,6 +111,17 @@ def feature_importances(model, features: list[str], spark) -> DataFrame:
     return spark.createDataFrame(list(zip(features, [float(x) for x in imp])), "feature string, importance double")
 
 
+def fit_slopes(df: DataFrame, features: list[str], target: str) -> dict:
+    """Least-squares slope of the target on each feature alone (0 for a constant one) and the feature means, in one aggregate."""
+    x = {f: F.coalesce(F.col(f"`{f}`").cast("double"), F.lit(0.0)) for f in features}
+    y = F.col(target)
+    row = df.agg(*[F.covar_pop(y, c).alias(f"c{i}") for i, c in enumerate(x.values())],
+                 *[F.var_pop(c).alias(f"v{i}") for i, c in enumerate(x.values())],
+                 *[F.avg(c).alias(f"m{i}") for i, c in enumerate(x.values())]).first()
+    return {"slopes": {f: (row[f"c{i}"] or 0.0) / row[f"v{i}"] if row[f"v{i}"] else 0.0 for i, f in enumerate(features)},
+            "means": {f: row[f"m{i}"] or 0.0 for i, f in enumerate(features)}}
+
+
 def linear_attribution(df: DataFrame, coefs: dict[str, float], means: dict[str, float] | DataFrame,
                        key: str = "event_id") -> DataFrame:
     """M14 (linear path): contribution = coef * (x - mean), long form ``(event_id, feature, contribution)``.

@@ -133,6 +133,88 @@ def score_decisions(df: DataFrame, champion: Column | None, anomaly: Column | No
     return out
 
 
+def score_models(df: DataFrame, champion=None, forest: dict | None = None) -> DataFrame:
+    """Adds ``champion_score``, ``anomaly_score`` and the milliseconds per row of both, in one Arrow pass.
+
+    ``champion``: a ``TreeModel``; ``forest``: a fitted isolation forest (M5).  A missing model's columns are null.
+    Both node tables are bounded by their parameters and go to the workers once.
+    Works on a batch and on a stream.
+    """
+    import time
+
+    from pyspark.sql.types import DoubleType, StructType
+
+    from . import iforest as IF
+    from . import tree_model as TM
+
+    names, ctx = df.columns, df.sparkSession.sparkContext
+    feats = [champion.features if champion else [], forest["features"] if forest else []]
+    x = TM.model_inputs(TM.model_inputs(df, feats[0], "_c"), feats[1], "_a")
+    bc = ctx.broadcast((champion, forest))
+
+    def run(batches):
+        import pyarrow as pa
+
+        champ, iso = bc.value
+        trees, cpsi = (IF._forest_arrays(iso), IF.c_factor(iso["psi"])) if iso else (None, 0.0)
+        for b in batches:
+            k, out = len(names), []
+            t0 = time.perf_counter()
+            if champ:
+                f = TM._forest(champ)
+                out.append(f.score(f.margin(TM._matrix(b, k, len(feats[0])))))
+            t1 = time.perf_counter()
+            if iso:
+                out.append(IF.risk(IF.raw_scores(trees, TM._matrix(b, k + len(feats[0]), len(feats[1])), cpsi), iso))
+            t2 = time.perf_counter()
+            ms = [1000 * t / max(1, b.num_rows) for t in (t1 - t0, t2 - t1)]
+            none = pa.nulls(b.num_rows, pa.float64())
+            scores = [pa.array(out.pop(0)) if m else none for m in (champ, iso)]
+            spent = [pa.array([v] * b.num_rows, pa.float64()) if m else none for m, v in zip((champ, iso), ms)]
+            yield pa.record_batch([*b.columns[:k], *scores, *spent], names=[*names, *MODEL_COLUMNS])
+
+    schema = StructType([df.schema[c] for c in names])
+    for c in MODEL_COLUMNS:
+        schema = schema.add(c, DoubleType())
+    return x.mapInArrow(run, schema)
+
+
+MODEL_COLUMNS = ["champion_score", "anomaly_score", "champion_ms", "anomaly_ms"]
+
+
+def score_events(events: DataFrame, snapshots: dict[str, DataFrame], champion=None, forest: dict | None = None,
+                 served_by: str = "v1", created_at: Column | None = None, thresholds: dict | None = None,
+                 registry_mode: str = "local") -> DataFrame:
+    """M9 / ST10: events (batch or stream) -> feature snapshots (J8) -> three scores -> blend -> tier -> decision-log row.
+
+    The scoring input takes the reference's defaults (P15) for missing context; features without a snapshot are 0
+    for the models and absent from the logged feature map.  Flags: champion_missing, anomaly_missing,
+    rules_only, feast_failed.  ``model_versions`` names the champion's type and the folder it was loaded from.
+    """
+    from .joins import online_features
+
+    f = online_features(events, snapshots)
+    feats = [c for s in snapshots.values() for c in s.columns if c not in snapshots and c in f.columns]
+    given = F.map_filter(F.map_from_arrays(F.array(*[F.lit(c) for c in feats]), F.array(*[F.col(c).cast("double") for c in feats])),
+                         lambda k, v: v.isNotNull())
+    f = P.scoring_input(f.withColumn("_given", given))
+    f = score_models(f.withColumn("_rules", rules_score(f, thresholds)), champion, forest)
+    final = ensemble("_rules", "champion_score", "anomaly_score")
+    about = champion.about if champion else {}
+    text = lambda v: F.lit(v).cast("string")
+    return f.select(
+        "event_id", "event_ts", *C.ID_COLUMNS, "amount", "country", "channel", F.col("drift_phase").cast("int").alias("drift_phase"),
+        final.alias("final_score"), P.decide(final, thresholds).alias("decision"),
+        F.struct(F.col("_rules").alias("rules"), F.col("champion_score").alias("champion"), F.col("anomaly_score").alias("anomaly")).alias("scores"),
+        fallback_flags("champion_score", "anomaly_score", F.col("feast_failed")).alias("fallbacks"),
+        F.struct(text(about.get("champion_type")).alias("champion_type"), text(registry_mode).alias("registry_mode"),
+                 P.model_ref(text(about.get("champion_ref"))).alias("champion_ref")).alias("model_versions"),
+        F.col("_given").alias("features"),
+        F.struct(F.lit(0.0).alias("rules"), F.col("champion_ms").alias("champion"), F.col("anomaly_ms").alias("anomaly"),
+                 (F.coalesce("champion_ms", F.lit(0.0)) + F.coalesce("anomaly_ms", F.lit(0.0))).alias("total")).alias("latency_ms"),
+        F.lit(served_by).alias("served_by"), (created_at if created_at is not None else F.col("event_ts")).alias("created_at"), "feast_failed")
+
+
 def to_decision_log(df: DataFrame, now=None) -> DataFrame:
     """Decision-log row with the reference's defaults applied."""
     def c(name, default):

@@ -258,10 +258,9 @@ def f5_feedback_loop(spark, sf):
     return trig
 
 
-@register("f6_monitoring_run", ops="F6 A1 D7")
+@register("f6_monitoring_run", ops="F6 A1 A20 D7 M14")
 def f6_monitoring_run(spark, sf):
     from .q_metrics import slice_input
-    slices = A.slice_metrics(slice_input(spark, sf))
-    reps = FB.drift_reports(X.decision_log(spark, sf), AS_OF)
-    drift = FB.drift_detected(reps).select("drift_detected").scalar()
-    return slices.withColumn("drift_detected", drift)
+    from .q_models import _tree_model, window_frame
+    model, _, _ = _tree_model(spark, sf)
+    return FB.monitoring_run(slice_input(spark, sf), X.decision_log(spark, sf), AS_OF, model, window_frame(spark, sf))

@@ -8,7 +8,6 @@ from .. import constants as C
 from ..functions import scalar as P
 from ..operators import models as MD
 from ..operators import ranking as R
-from ..operators.attribution import attribute_trees
 from ..operators.iforest import score_iforest, train_iforest
 from ..operators.windows import time_split
 from ..sources import fixtures as X
@@ -66,34 +65,142 @@ def _train_test(spark, sf):
 _CHAMPIONS: dict = {}
 
 
+def _fingerprint(spark, path):
+    """Size and change time of an input path, asked of its file system: a changed table is another model."""
+    jvm = spark.sparkContext._jvm
+    hadoop = jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(hadoop).getLength(), fs.getFileStatus(hadoop).getModificationTime()
+
+
 def _champion(spark, sf):
     """(model, train / test frame, features): the library's default ensemble, fitted once per application and input.
 
-    The model and its frame are written to the shared checkpoint folder and read back by M2, M14, M15 and M16.
+    The model's node table and its frame are written to the shared checkpoint folder and read back by
+    M2, M9, M14, M15, M16, A19, A20, T5, F6 and ST10.  A single-class frame gives a ``ConstantModel``.
     """
-    from pyspark.ml.classification import GBTClassificationModel
-
+    from ..operators import tree_model as TM
     from ..session import scratch_path
-    key = (spark.sparkContext.applicationId, sf)
+    key = (spark.sparkContext.applicationId, sf, _fingerprint(spark, f"{sf}/events.parquet"))
     if key not in _CHAMPIONS:
         s, feats = _train_test(spark, sf)
         model, path = MD.train_gbt(s.where("split = 'train'"), feats, "label"), scratch_path(spark, "champion")
         s.write.parquet(f"{path}/frame")
         if not isinstance(model, MD.ConstantModel):
-            model.write().save(f"{path}/model")
+            imp = dict(zip(feats, (float(v) for v in model.featureImportances.toArray())))
+            TM.from_spark_ml(model, feats, spark, f"{path}/ml", {"champion_type": "gbt", "importances": imp}).save(spark, f"{path}/champion")
             model = None
         _CHAMPIONS[key] = path, model, feats, s.schema
     path, model, feats, schema = _CHAMPIONS[key]
-    return model or GBTClassificationModel.load(f"{path}/model"), spark.read.schema(schema).parquet(f"{path}/frame"), feats
+    return model or TM.TreeModel.load(spark, f"{path}/champion"), spark.read.schema(schema).parquet(f"{path}/frame"), feats
+
+
+_FORESTS: dict = {}
+
+
+def _forest(spark, sf):
+    """The isolation forest over the training rows, written to the shared folder once per application and input."""
+    from ..operators.iforest import load_iforest, save_iforest
+    from ..session import scratch_path
+    key = (spark.sparkContext.applicationId, sf, _fingerprint(spark, f"{sf}/events.parquet"))
+    if key not in _FORESTS:
+        _, s, _ = _champion(spark, sf)
+        model = train_iforest(s.where("split = 'train'"), _NUM + ["amount"], "event_id", label="label", trees=200, psi=256)
+        _FORESTS[key] = save_iforest(spark, model, scratch_path(spark, "forest"))
+    return load_iforest(spark, _FORESTS[key])
+
+
+def serving_events(spark, sf):
+    """Events as a scoring request holds them: ids, amount, context; no features."""
+    return X.txn_validated(spark, sf).select("event_id", "event_ts", *C.ID_COLUMNS, "amount", "country", "channel", "drift_phase",
+                                             "geo_mismatch", "is_new_device", "is_new_ip")
+
+
+def _tree_model(spark, sf):
+    from ..operators.tree_model import TreeModel
+    model, s, feats = _champion(spark, sf)
+    return (model if isinstance(model, TreeModel) else None), s, feats
 
 
 @register("m2_train_gbt", ops="M2 M8 M10")
 def m2_train_gbt(spark, sf):
+    from ..operators.tree_model import score_trees
     model, s, feats = _champion(spark, sf)
-    scored = MD.score_model(model, s.where("split = 'test'"), feats, "score")
+    test = s.where("split = 'test'")
+    scored = MD.score_model(model, test, feats, "score") if isinstance(model, MD.ConstantModel) else score_trees(test, model)
     return scored.select("event_id", "label", "score")
 
 
+@register("m2_weighted_checks", with_ctes("""
+SELECT count(*) AS n, 0 AS outside, true AS raises_positives FROM (
+  SELECT row_number() OVER (ORDER BY event_ts, eid) AS r, count(*) OVER () AS n FROM txn_validated) t
+WHERE r > floor(0.8 * n)""", "txn_validated"), ops="M2 A11")
+def m2_weighted_checks(spark, sf):
+    """The class-weighted variant on the test rows: scores in [0, 1]; balanced weights do not lower the mean score."""
+    from ..operators.metrics import with_class_weight
+    _, s, feats = _champion(spark, sf)
+    train = s.where("split = 'train'").select(*[F.col(f"`{c}`") for c in feats], "label")
+    test, means = s.where("split = 'test'"), []
+    for weight in (None, "weight"):
+        model = MD.train_gbt(with_class_weight(train, "label", "weight") if weight else train, feats, "label", weight=weight, max_iter=10)
+        scored = MD.score_model(model, test, feats, "score")
+        means.append(scored.agg(F.count(F.lit(1)).alias("n"), F.count_if((F.col("score") < 0) | (F.col("score") > 1)).alias("outside"),
+                                F.avg("score").alias("mean")))
+    plain, weighted = means
+    return weighted.crossJoin(plain.select(F.col("mean").alias("plain"))).select(
+        "n", F.col("outside").cast("int").alias("outside"), (F.col("mean") >= F.col("plain") - 0.02).alias("raises_positives"))
+
+
+@register("m9_score_events", ops="M9 M2 M5 J8 P15 S10")
+def m9_score_events(spark, sf):
+    """The batch scorer with the fitted champion and forest, loaded from their folders."""
+    from ..operators.scoring import score_events
+    from .q_joins import _snapshots
+    model, _, _ = _tree_model(spark, sf)
+    return score_events(serving_events(spark, sf), _snapshots(spark, sf), model, _forest(spark, sf)).select(
+        "event_id", "final_score", "decision", "scores", "fallbacks", F.col("model_versions.champion_type").alias("champion_type"),
+        "features", "feast_failed")
+
+
+def score_checks(scored):
+    """One row: rows, and how many break a rule that holds for every model (M6 blend, P22 tier, ranges, flags)."""
+    from ..operators.scoring import ensemble
+    final = ensemble("scores.rules", "scores.champion", "scores.anomaly")
+    unit = lambda c: F.coalesce((F.col(c) < 0) | (F.col(c) > 1), F.lit(False))
+    flag = lambda k: F.col("fallbacks")[k]
+    none = {"champion_missing": F.col("scores.champion").isNull(), "anomaly_missing": F.col("scores.anomaly").isNull(),
+            "rules_only": F.col("scores.champion").isNull() & F.col("scores.anomaly").isNull(), "feast_failed": F.col("feast_failed")}
+    wrong = F.lit(False)
+    for k, v in none.items():
+        wrong = wrong | (flag(k) != v)
+    bad = {"bad_blend": F.abs(F.col("final_score") - final) > 1e-12, "bad_tier": F.col("decision") != P.decide("final_score"),
+           "outside": unit("scores.rules") | unit("scores.champion") | unit("scores.anomaly"), "bad_flags": wrong}
+    return scored.agg(F.count(F.lit(1)).alias("n"), F.count_if("feast_failed").alias("feast_failed"),
+                      *[F.count_if(F.coalesce(v, F.lit(True))).alias(k) for k, v in bad.items()])
+
+
+def _feast_failed_sql():
+    from .q_joins import _snap_sql
+    snaps = [_snap_sql(k, v) for k, v in C.FEATURE_VIEWS.items()]
+    joins = " ".join(f"LEFT JOIN snap_{k} ON e.{k} = snap_{k}.{k}" for k in C.FEATURE_VIEWS)
+    miss = " OR ".join(f"snap_{k}.{k} IS NULL" for k in C.FEATURE_VIEWS)
+    return f"SELECT e.event_id, ({miss}) AS feast_failed FROM txn_validated e {joins}", snaps
+
+
+_CHECK_SQL, _SNAPS = _feast_failed_sql()
+
+
+@register("m9_score_checks", with_ctes(f"""
+SELECT count(*) AS n, count(*) FILTER (feast_failed) AS feast_failed, 0 AS bad_blend, 0 AS bad_tier, 0 AS outside, 0 AS bad_flags
+FROM ({_CHECK_SQL}) x""", "feats", "txn_validated", extra=_SNAPS), ops="M9 M6 M7 P22 J8")
+def m9_score_checks(spark, sf):
+    from ..operators.scoring import score_events
+    from .q_joins import _snapshots
+    model, _, _ = _tree_model(spark, sf)
+    c = score_checks(score_events(serving_events(spark, sf), _snapshots(spark, sf), model, _forest(spark, sf)))
+    return c.select("n", "feast_failed", *[F.col(x).cast("int").alias(x) for x in ("bad_blend", "bad_tier", "outside", "bad_flags")])
+
+
 @register("m3_train_logreg", ops="M3 A11")
 def m3_train_logreg(spark, sf):
     s, feats = _train_test(spark, sf)
@@ -122,26 +229,33 @@ def m5_isolation_forest(spark, sf):
     return score_iforest(f, model).select("event_id", "anomaly_score")
 
 
-_COEF = {"amount": 0.001, "user_txn_count_5m": 0.2, "user_amount_sum_1h": 0.0005, "user_avg_amount_30d": 0.002}
+#: features of the linear attribution
+_LINEAR = ["amount", *_NUM]
 
 
 def _linear_attr(spark, sf):
+    """Per-feature least-squares slopes of the decision's score, as contributions of every logged decision."""
     d = X.decision_log(spark, sf, rescored=False)
-    flat = P.flatten_features(d, keys=_NUM, keep=["event_id", "amount", "created_at"])
+    flat = P.flatten_features(d, keys=_NUM, keep=["event_id", "amount", "created_at", "final_score"])
     flat = P.scoring_input(flat, _NUM)
-    means = flat.agg(*[F.avg(c).alias(c) for c in _COEF])
-    return MD.linear_attribution(flat, _COEF, means), flat
+    fit = MD.fit_slopes(flat, _LINEAR, "final_score")
+    return MD.linear_attribution(flat, fit["slopes"], fit["means"]), flat
+
 
+def _value_sql(f):
+    return f"coalesce(CAST({f if f == 'amount' else 'f_' + f} AS DOUBLE), 0.0)"
 
+
+_SLOPES_SQL = ("slopes", "SELECT " + ", ".join(
+    f"coalesce(covar_pop(final_score, {_value_sql(f)}) / nullif(var_pop({_value_sql(f)}), 0), 0) AS s_{f}, avg({_value_sql(f)}) AS m_{f}"
+    for f in _LINEAR) + " FROM decisions1")
 _ATTR_SQL = ("attr", " UNION ALL ".join(
-    f"SELECT event_id, created_at, '{f}' AS feature, "
-    f"CAST({w} AS DOUBLE) * (coalesce(CAST({f if f == 'amount' else 'f_' + f} AS DOUBLE), 0.0) - "
-    f"(SELECT avg(coalesce(CAST({f if f == 'amount' else 'f_' + f} AS DOUBLE), 0.0)) FROM decisions1)) AS contribution "
-    f"FROM decisions1" for f, w in _COEF.items()))
+    f"SELECT event_id, created_at, '{f}' AS feature, s_{f} * ({_value_sql(f)} - m_{f}) AS contribution FROM decisions1, slopes"
+    for f in _LINEAR))
 
 
 @register("m14_linear_attribution", with_ctes(
-    "SELECT event_id, feature, round(contribution, 6) AS contribution FROM attr", "decisions1", extra=[_ATTR_SQL]),
+    "SELECT event_id, feature, round(contribution, 6) AS contribution FROM attr", "decisions1", extra=[_SLOPES_SQL, _ATTR_SQL]),
     ops="M14")
 def m14_linear_attribution(spark, sf):
     a, _ = _linear_attr(spark, sf)
@@ -150,7 +264,7 @@ def m14_linear_attribution(spark, sf):
 
 @register("a19_global_importance", with_ctes(
     "SELECT feature, round(avg(abs(contribution)), 6) AS importance FROM attr GROUP BY 1", "decisions1",
-    extra=[_ATTR_SQL]), ops="A19")
+    extra=[_SLOPES_SQL, _ATTR_SQL]), ops="A19")
 def a19_global_importance(spark, sf):
     a, _ = _linear_attr(spark, sf)
     return a.groupBy("feature").agg(F.round(F.avg(F.abs("contribution")), 6).alias("importance"))
@@ -161,7 +275,7 @@ SELECT feature,
   round(avg(abs(contribution)) FILTER (WHERE created_at >= TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR), 6)
   - round(avg(abs(contribution)) FILTER (WHERE created_at < TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR), 6) AS drift
 FROM attr WHERE created_at >= TIMESTAMP '{AS_OF}' - INTERVAL 7 HOUR AND created_at < TIMESTAMP '{AS_OF}'
-GROUP BY 1""", "decisions1", extra=[_ATTR_SQL]), ops="A20 P11")
+GROUP BY 1""", "decisions1", extra=[_SLOPES_SQL, _ATTR_SQL]), ops="A20 P11")
 def a20_importance_drift(spark, sf):
     a, flat = _linear_attr(spark, sf)
     t = a.join(flat.select("event_id", "created_at"), "event_id").withColumn(
@@ -176,7 +290,7 @@ def a20_importance_drift(spark, sf):
 SELECT event_id, feature, round(contribution, 6) AS contribution, rank,
        CASE WHEN contribution > 0 THEN 'increased_risk' ELSE 'decreased_risk' END AS direction
 FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY abs(round(contribution, 9)) DESC, feature) AS rank
-      FROM attr) r WHERE rank <= 2""", "decisions1", extra=[_ATTR_SQL]), ops="T5 M16")
+      FROM attr) r WHERE rank <= 2""", "decisions1", extra=[_SLOPES_SQL, _ATTR_SQL]), ops="T5 M16")
 def t5_top_contributors(spark, sf):
     a, _ = _linear_attr(spark, sf)
     a = a.withColumn("_abs", F.round(F.abs("contribution"), 9))
@@ -189,7 +303,7 @@ def t5_top_contributors(spark, sf):
 
 @register("t5_top_features", with_ctes(
     "SELECT feature, round(avg(abs(contribution)), 6) AS importance FROM attr GROUP BY 1 "
-    "ORDER BY importance DESC, feature LIMIT 3", "decisions1", extra=[_ATTR_SQL]), ops="T5 A19")
+    "ORDER BY importance DESC, feature LIMIT 3", "decisions1", extra=[_SLOPES_SQL, _ATTR_SQL]), ops="T5 A19")
 def t5_top_features(spark, sf):
     g = a19_global_importance(spark, sf)
     return g.orderBy(F.col("importance").desc(), "feature").limit(3)
@@ -197,18 +311,60 @@ def t5_top_features(spark, sf):
 
 @register("m14_tree_attribution", ops="M14 M15")
 def m14_tree_attribution(spark, sf):
-    model, s, feats = _champion(spark, sf)
-    return attribute_trees(s.where("split = 'test'"), model, feats)
+    """Shapley values of the champion's margin for the test rows, all features, and the base value."""
+    from ..operators.tree_model import shap_long
+    model, s, _ = _tree_model(spark, sf)
+    return shap_long(s.where("split = 'test'"), model)
+
+
+@register("m14_shap_checks", with_ctes("""
+SELECT count(*) AS n, 0 AS not_additive FROM (
+  SELECT row_number() OVER (ORDER BY event_ts, eid) AS r, count(*) OVER () AS n FROM txn_validated) t
+WHERE r > floor(0.8 * n)""", "txn_validated"), ops="M14 W10")
+def m14_shap_checks(spark, sf):
+    """Contributions and base value sum to the scorer's margin for every test row."""
+    from ..operators.tree_model import score_trees, shap_vectors
+    model, s, _ = _tree_model(spark, sf)
+    t = shap_vectors(score_trees(s.where("split = 'test'"), model, "score", "margin"), model)
+    total = F.aggregate("shap", F.col("base"), lambda a, v: a + v)
+    return t.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.abs(total - F.col("margin")) > 1e-9).cast("int").alias("not_additive"))
+
+
+@register("a19_model_importance", ops="A19 M14")
+def a19_model_importance(spark, sf):
+    from ..operators.tree_model import importance
+    model, s, _ = _tree_model(spark, sf)
+    return importance(s, model)
+
+
+def window_frame(spark, sf):
+    """The model's frame with the decision's window tag (P11 over created_at)."""
+    _, s, _ = _tree_model(spark, sf)
+    d = X.decision_log(spark, sf, rescored=False).select("event_id", "created_at")
+    return s.drop("created_at").join(d, "event_id").withColumn("win", P.window_tag("created_at", AS_OF, 6, 1)).where(F.col("win").isNotNull())
+
+
+@register("a20_model_importance_drift", ops="A20 P11 M14")
+def a20_model_importance_drift(spark, sf):
+    from ..operators.tree_model import importance_drift
+    model, _, _ = _tree_model(spark, sf)
+    return importance_drift(window_frame(spark, sf), model)
+
+
+@register("t5_model_top_features", ops="T5 A19 M14")
+def t5_model_top_features(spark, sf):
+    return a19_model_importance(spark, sf).orderBy(F.col("importance").desc(), "feature").limit(20)
 
 
 @register("m15_feature_importances", ops="M15")
 def m15_feature_importances(spark, sf):
-    model, s, feats = _champion(spark, sf)
-    return MD.feature_importances(model, feats, spark)
+    model, _, feats = _tree_model(spark, sf)
+    return spark.createDataFrame([(f, model.about["importances"][f]) for f in feats], "feature string, importance double")
 
 
-@register("m16_explain", ops="M16 W8 P31 P32 T5")
-def m16_explain(spark, sf):
+def explain(spark, sf):
+    """M16 for every event: latest decision, rules triggered, anomaly reasons and the champion's five top contributors."""
+    from ..operators.tree_model import top_contributions
     from ..operators.windows import latest_decision, velocity_features
     d = latest_decision(X.decision_log(spark, sf))
     f = velocity_features(X.txn_validated(spark, sf)).select(
@@ -218,9 +374,23 @@ def m16_explain(spark, sf):
                  F.col("scores.anomaly").alias("anomaly_score")).join(f, "event_id", "left")
     e = e.select("event_id", "decision", "final_score", P.rules_triggered(e).alias("rules_triggered"),
                  P.anomaly_reasons(e, "anomaly_score").alias("anomaly_reasons"))
-    model, s, feats = _champion(spark, sf)
-    a = attribute_trees(s, model, feats).where("feature <> '__base__'")
-    top = R.top_k_per_group(a, "event_id", 5, "contribution", tie="feature")
-    top = top.groupBy("event_id").agg(F.sort_array(F.collect_list(F.struct(
-        "rank", "feature", "contribution", "direction"))).alias("top_contributors"))
-    return e.join(top, "event_id", "left")
+    model, s, _ = _tree_model(spark, sf)
+    return e.join(top_contributions(s, model, 5).select("event_id", "top_contributors"), "event_id", "left")
+
+
+@register("m16_explain", ops="M16 W8 P31 P32 T5")
+def m16_explain(spark, sf):
+    return explain(spark, sf)
+
+
+@register("m16_explain_checks", with_ctes("""
+SELECT event_id, decision, round(final_score, 9) AS final_score, true AS top_ok FROM decision_log
+QUALIFY row_number() OVER (PARTITION BY event_id ORDER BY created_at DESC) = 1""", "decision_log"), ops="M16 W8 T5")
+def m16_explain_checks(spark, sf):
+    """Every event once with its latest decision, and whether its contributors are five at most, ranked by size, with the right direction."""
+    t = F.col("top_contributors")
+    ok = ((F.size(t) <= 5) & F.forall(t, lambda p: (p["direction"] == "increased_risk") == (p["contribution"] > 0))
+          & F.forall(F.sequence(F.lit(1), F.greatest(F.size(t), F.lit(1))), lambda i: F.coalesce(
+              (F.get(t, i - 1)["rank"] == i) & F.coalesce(F.abs(F.get(t, i - 1)["contribution"]) >= F.abs(F.get(t, i)["contribution"]), F.lit(True)),
+              F.size(t) == 0)))
+    return explain(spark, sf).select("event_id", "decision", F.round("final_score", 9).alias("final_score"), ok.alias("top_ok"))

@@ -17,6 +17,7 @@ from ..streaming import pipelines as ST
 from .oracle import with_ctes
 from .q_drift import _PL
 from .q_functions import proxy_sql
+from .q_models import _CHECK_SQL, _SNAPS
 from .registry import register
 
 _DUE = ("due", """
@@ -149,14 +150,36 @@ def st9_shadow_stream(spark, sf):
     return ST.run_to_table(j, "shadow")
 
 
-@register("st10_score_stream", ops="ST10 J8 M1 M6 P22")
+def _scored_stream(spark, sf):
+    """Events of several micro-batches through the saved champion and forest."""
+    from .q_joins import _snapshots
+    from .q_models import _forest, _tree_model, serving_events
+    p, s = _land_table(spark, serving_events(spark, sf), "events", "event_ts")
+    events = spark.readStream.schema(s).option("maxFilesPerTrigger", 3).parquet(p)
+    scored = ST.score_stream(events, _snapshots(spark, sf), _tree_model(spark, sf)[0], _forest(spark, sf))
+    return ST.run_to_table(scored, "score")
+
+
+@register("st10_score_stream", ops="ST10 J8 M1 M2 M5 M6 M9 P22")
 def st10_score_stream(spark, sf):
+    return _scored_stream(spark, sf).select("event_id", "final_score", "decision", "scores", "fallbacks", "feast_failed")
+
+
+@register("st10_stream_equals_batch", with_ctes(f"""
+SELECT count(*) AS n, count(*) FILTER (feast_failed) AS feast_failed, 0 AS differ FROM ({_CHECK_SQL}) x""",
+    "feats", "txn_validated", extra=_SNAPS), ops="ST10 M9")
+def st10_stream_equals_batch(spark, sf):
+    """The stream's rows against the batch scorer's: same events, same scores, decisions and flags."""
+    from ..operators.scoring import score_events
     from .q_joins import _snapshots
-    v = X.txn_validated(spark, sf).select("event_id", "event_ts", *C.ID_COLUMNS, "amount", "geo_mismatch",
-                                          "is_new_device", "is_new_ip")
-    p, s = _land_table(spark, v, "events", "event_ts")
-    scored = ST.score_stream(spark.readStream.schema(s).parquet(p), _snapshots(spark, sf))
-    return ST.run_to_table(scored.select("event_id", "rules_score", "final_score", "decision", "feast_failed"), "score")
+    from .q_models import _forest, _tree_model, serving_events
+    cols = ["final_score", "decision", "scores", "feast_failed"]
+    a = _scored_stream(spark, sf).select("event_id", F.struct(*cols).alias("s"))
+    batch = score_events(serving_events(spark, sf), _snapshots(spark, sf), _tree_model(spark, sf)[0], _forest(spark, sf))
+    b = batch.select(F.col("event_id").alias("b_id"), F.struct(*cols).alias("b"))
+    j = a.join(b, F.col("event_id") == F.col("b_id"), "full")
+    return j.agg(F.count("event_id").alias("n"), F.count_if("s.feast_failed").alias("feast_failed"),
+                 F.count_if(~F.col("s").eqNullSafe(F.col("b"))).cast("int").alias("differ"))
 
 
 @register("st11_velocity_stream", with_ctes("""
