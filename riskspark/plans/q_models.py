@@ -255,11 +255,11 @@ _ATTR_SQL = ("attr", " UNION ALL ".join(
 
 
 @register("m14_linear_attribution", with_ctes(
-    "SELECT event_id, feature, round(contribution, 6) AS contribution FROM attr", "decisions1", extra=[_SLOPES_SQL, _ATTR_SQL]),
+    "SELECT event_id, feature, round(contribution, 6) + 0.0::DOUBLE AS contribution FROM attr", "decisions1", extra=[_SLOPES_SQL, _ATTR_SQL]),
     ops="M14")
 def m14_linear_attribution(spark, sf):
     a, _ = _linear_attr(spark, sf)
-    return a.select("event_id", "feature", F.round("contribution", 6).alias("contribution"))
+    return a.select("event_id", "feature", (F.round("contribution", 6) + F.lit(0.0)).alias("contribution"))  # no negative zeros
 
 
 @register("a19_global_importance", with_ctes(
