@@ -147,27 +147,91 @@ def u3_fallback_split(spark, sf):
                                 F.max("created_at").alias("last_at"))
 
 
-@register("d7_drift_report", ops="D1 D2 D3 D4 D5 D7")
+#: columns of the three reports: report, column, its SQL, whether it is a number
+_REPORTED = ([("input_drift", c, c, True) for c in ("amount", "drift_phase")] + [("input_drift", c, c, False) for c in ("country", "channel")]
+             + [("feature_drift", c, f"f_{c}", True) for c in FB.FEATURE_NUMERIC]
+             + [("prediction_drift", "final_score", "final_score", True), ("prediction_drift", "decision", "decision", False)])
+
+
+def _gamma_q_sql(a, x):
+    return (f"CASE WHEN {x} <= 0 THEN 1.0 WHEN {x} > {D.TAIL} THEN 0.0 ELSE greatest(0.0, 1 - list_sum(list_transform(range(0, 1500), "
+            f"lambda n: exp(-({x}) + ({a} + n) * ln({x}) - lgamma({a} + n + 1))))) END")
+
+
+def _report_ctes(tests: bool) -> list[tuple[str, str]]:
+    """The drift reports over ``tg`` as DuckDB views, ending in ``rep`` (report, column, method, statistic, p_value, drifted)."""
+    vals = " UNION ALL ".join(f"SELECT win, '{r}' AS report, '{c}' AS \"column\", CAST({sql} AS VARCHAR) AS value, "
+                              f"{f'CAST({sql} AS DOUBLE)' if number else 'CAST(NULL AS DOUBLE)'} AS x FROM tg" for r, c, sql, number in _REPORTED)
+    names = ", ".join(f"('{r}', '{c}')" for r, c, _, _ in _REPORTED)
+    ks = ("list_sum(list_transform(range(1, 101), lambda i: (CASE WHEN i % 2 = 1 THEN 2.0 ELSE -2.0 END) * exp(-2.0 * i * i * lam * lam)))")
+    if tests:
+        method = "CASE WHEN kind = 'num' THEN 'ks' WHEN k = 2 THEN 'z' ELSE 'chisquare' END"
+        stat = "CASE WHEN kind = 'num' THEN ks WHEN k = 2 THEN z ELSE chi2 END"
+        p = (f"CASE method WHEN 'ks' THEN CASE WHEN lam < 1e-3 THEN 1.0 ELSE least(greatest({ks}, 0.0), 1.0) END "
+             f"WHEN 'z' THEN {_gamma_q_sql('0.5', 's * s / 2')} ELSE CASE WHEN k < 2 THEN 1.0 ELSE {_gamma_q_sql('((k - 1) / 2)', 's / 2')} END END")
+        drifted = f"p_value < {C.DRIFT_P_VALUE}"
+    else:
+        method = "CASE WHEN kind = 'num' THEN 'wasserstein' ELSE 'jensenshannon' END"
+        stat = "CASE WHEN kind = 'num' THEN wasserstein ELSE js END"
+        p, drifted = "CAST(NULL AS DOUBLE)", f"statistic >= {C.DRIFT_DISTANCE}"
+    return [
+        _TAG, ("vals", vals), ("names", f"SELECT * FROM (VALUES {names}) v(report, \"column\")"),
+        ("cnt", """SELECT "column", value, x, CAST(count(*) FILTER (WHERE win = 'ref') AS DOUBLE) AS ref,
+CAST(count(*) FILTER (WHERE win = 'cur') AS DOUBLE) AS cur FROM vals WHERE value IS NOT NULL GROUP BY 1, 2, 3"""),
+        ("summ", """SELECT "column", sum(ref) AS n_ref, sum(cur) AS n_cur, count(*) AS k, sum(ref * x) / sum(ref) AS mean, min(value) AS first,
+CASE WHEN count(x) > 0 AND count(*) > 5 THEN 'num' ELSE 'cat' END AS kind FROM cnt GROUP BY 1"""),
+        ("curve", """SELECT c.column, c.x, c.ref, s.mean, s.n_ref, lead(c.x) OVER w AS x_next,
+abs(sum(c.ref) OVER w / s.n_ref - sum(c.cur) OVER w / s.n_cur) AS gap
+FROM cnt c JOIN summ s ON c.column = s.column AND s.kind = 'num' WINDOW w AS (PARTITION BY c.column ORDER BY c.x)"""),
+        ("nstat", """SELECT "column", ks, round(CASE WHEN sd > 0 THEN w / sd ELSE w END, 6) AS wasserstein FROM (
+SELECT "column", max(gap) AS ks, sum(coalesce(x_next - x, 0) * gap) AS w, sqrt(sum(ref * (x - mean) * (x - mean)) / max(n_ref)) AS sd FROM curve GROUP BY 1) t"""),
+        ("cstat", f"""SELECT "column", round(sum(CASE WHEN e > 0 THEN (cur - e) * (cur - e) / e WHEN cur > 0 THEN 'inf'::DOUBLE ELSE 0 END), 6) AS chi2,
+round(max(z), 6) AS z, round(sqrt(greatest(sum(p * ln(p / ((p + q) / 2)) + q * ln(q / ((p + q) / 2))) / 2, 0)), 6) AS js FROM (
+  SELECT *, p0 / sum(p0) OVER g AS p, q0 / sum(q0) OVER g AS q FROM (
+    SELECT c.column, c.cur, c.ref * s.n_cur / s.n_ref AS e,
+      CASE WHEN c.ref > 0 THEN c.ref / s.n_ref ELSE {D.JS_ZERO} END AS p0, CASE WHEN c.cur > 0 THEN c.cur / s.n_cur ELSE {D.JS_ZERO} END AS q0,
+      CASE WHEN c.value = s.first THEN CASE WHEN (c.ref + c.cur) < (s.n_ref + s.n_cur) THEN (c.ref / s.n_ref - c.cur / s.n_cur)
+        / sqrt(((c.ref + c.cur) / (s.n_ref + s.n_cur)) * (1.0 - (c.ref + c.cur) / (s.n_ref + s.n_cur)) * (1.0 / s.n_ref + 1.0 / s.n_cur)) ELSE 0 END END AS z
+    FROM cnt c JOIN summ s ON c.column = s.column AND s.kind = 'cat') a WINDOW g AS (PARTITION BY "column")) b GROUP BY 1"""),
+        ("rep0", f"""SELECT n.report, n.column, k, {method} AS method, coalesce({stat}, 0) AS s,
+(sqrt(n_ref * n_cur / (n_ref + n_cur)) + 0.12 + 0.11 / sqrt(n_ref * n_cur / (n_ref + n_cur))) * ks AS lam
+FROM names n LEFT JOIN summ USING ("column") LEFT JOIN nstat USING ("column") LEFT JOIN cstat USING ("column")"""),
+        ("rep", f"""SELECT report, "column", method, statistic, p_value, {drifted} AS drifted FROM (
+SELECT *, s AS statistic, {p} AS p_value FROM rep0) x WHERE (SELECT least(count(*) FILTER (WHERE win = 'ref'), count(*) FILTER (WHERE win = 'cur')) FROM tg) >= {C.MIN_ROWS_DRIFT}"""),
+    ]
+
+
+_REPORT_SQL = 'SELECT report, "column", method, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value, drifted FROM rep'
+
+
+def _report(spark, sf, method):
+    r = FB.all_reports(FB.drift_reports(X.decision_log(spark, sf), AS_OF, method=method))
+    return r.withColumn("statistic", F.round("statistic", 6)).withColumn("p_value", F.round("p_value", 6))
+
+
+@register("d7_drift_report", with_ctes(_REPORT_SQL, "decision_log", extra=_report_ctes(False)), ops="D4 D5 D7")
 def d7_drift_report(spark, sf):
-    reps = FB.drift_reports(X.decision_log(spark, sf), AS_OF)
-    out = None
-    for name, r in reps.items():
-        r = r.select(F.lit(name).alias("report"), "*")
-        out = r if out is None else out.unionByName(r)
-    return out
+    return _report(spark, sf, "distances")
+
+
+@register("d7_drift_tests", with_ctes(_REPORT_SQL, "decision_log", extra=_report_ctes(True)), ops="D1 D2 D3 D7")
+def d7_drift_tests(spark, sf):
+    return _report(spark, sf, "tests")
+
+
+_DATASET_SQL = f"""
+SELECT report, count(*) AS columns, count(*) FILTER (drifted) AS drifted_columns, count(*) FILTER (drifted) / count(*) AS drift_share,
+       count(*) FILTER (drifted) / count(*) >= {C.DRIFT_SHARE} AS dataset_drift FROM rep GROUP BY 1"""
 
 
-@register("d6_dataset_drift", ops="D6 F3")
+@register("d6_dataset_drift", with_ctes(_DATASET_SQL, "decision_log", extra=_report_ctes(False)), ops="D6 F3")
 def d6_dataset_drift(spark, sf):
     reps = FB.drift_reports(X.decision_log(spark, sf), AS_OF)
-    out = None
-    for name, r in reps.items():
-        r = D.dataset_drift(r).select(F.lit(name).alias("report"), "*")
-        out = r if out is None else out.unionByName(r)
-    return out
+    return FB.all_reports({name: D.dataset_drift(r) for name, r in reps.items()})
 
 
-@register("f3_drift_detected", ops="F3")
+@register("f3_drift_detected", with_ctes(f"SELECT bool_or(dataset_drift) AS drift_detected FROM ({_DATASET_SQL}) d",
+                                         "decision_log", extra=_report_ctes(False)), ops="F3")
 def f3_drift_detected(spark, sf):
     return FB.drift_detected(FB.drift_reports(X.decision_log(spark, sf), AS_OF))
 

@@ -149,14 +149,19 @@ def u4_training_fallback(spark, sf):
     return base.agg(F.count(F.lit(1)).alias("n")).withColumn("mode", F.lit(mode))
 
 
-@register("t6_top_drift", ops="T6 D7")
+def _top_drift_sql(tests):
+    from .q_drift import _report_ctes
+    return with_ctes("""
+SELECT report, "column", method, round(statistic, 6) AS statistic, drifted, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY method ORDER BY round(coalesce(1.0 - p_value, statistic), 6) DESC, "column") AS rank FROM rep) t WHERE rank <= 8""",
+                     "decision_log", extra=_report_ctes(tests))
+
+
+@register("t6_top_drift", _top_drift_sql(False), ops="T6 D7")
 def t6_top_drift(spark, sf):
+    """The most drifted columns of each method: a statistic of one method is not compared with another's."""
     from . import feedback as FB
-    reps = FB.drift_reports(X.decision_log(spark, sf), X.AS_OF)
-    out = None
-    for name, r in reps.items():
-        r = r.select(F.lit(name).alias("report"), "*")
-        out = r if out is None else out.unionByName(r)
-    strength = F.when(F.col("p_value").isNotNull(), F.lit(1.0) - F.col("p_value")).otherwise(F.col("statistic"))
-    return R.top_k(out.withColumn("strength", strength), 8, "strength", by_abs=False, tie="column")
-
+    r = FB.all_reports(FB.drift_reports(X.decision_log(spark, sf), X.AS_OF))
+    r = r.withColumn("strength", F.round(F.coalesce(F.lit(1.0) - F.col("p_value"), F.col("statistic")), 6))
+    top = R.top_k_per_group(r, "method", 8, "strength", by_abs=False, tie="column")
+    return top.select("report", "column", "method", F.round("statistic", 6).alias("statistic"), "drifted", "rank")

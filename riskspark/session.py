@@ -94,3 +94,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """
     base = checkpoint_dir(spark).rstrip("/")
     return f"{base}/riskspark/{spark.sparkContext.applicationId}/{name}-{uuid.uuid4().hex}"
+
+
+def write_scratch(df, name: str):
+    """Write ``df`` once as Parquet into the shared scratch folder and read it back: lineage ends there, columns stay prunable."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
