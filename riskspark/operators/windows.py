@@ -207,19 +207,32 @@ def time_split(df: DataFrame, ts: str = "event_ts", frac: float = 0.8, tie: str
 # V16 trailing volume (global event-time window, time-bucketed)
 # ---------------------------------------------------------------------------
 def trailing_count(df: DataFrame, ts: str = "event_ts", seconds: int = C.VOLUME_WINDOW_SECONDS,
-                   bucket: str = "10 minutes", name: str = "trailing_count", weight: str | None = None) -> DataFrame:
+                   name: str = "trailing_count", weight: str | None = None) -> DataFrame:
     """Rows (or the sum of ``weight``) in ``[ts - seconds, ts]`` over the whole stream (no entity key).
 
-    A plain ``ORDER BY ts`` window would put the whole table in one task; the
-    prefix form first sums the rows of one instant, then splits time into buckets
-    with a carry-in per bucket.
+    A plain ``ORDER BY ts`` window would put the whole table in one task.  Time is cut into buckets as long as the
+    window; a row enters its own bucket at its time and leaves in the next bucket, ``seconds`` later.  All that leaves in
+    a bucket was there at its start, so inside a bucket
+
+        count(t) = entered at or before t + (left in the whole bucket - left before t)
+
+    One scan, one shuffle by bucket and one sort; a task holds one window's worth of rows and the bare
+    timestamps of the one before.  Rows without a timestamp count each other, as peers of a RANGE frame do.
     """
-    # one key for all rows that the optimizer does not fold away, so the carry table keeps its partitioning
-    one_key = F.pmod(F.unix_micros(F.col(ts).cast("timestamp")), F.lit(1))
-    d = df.withColumn("_vol_key", one_key).withColumn("_vol_amt", F.col(weight) if weight else F.lit(0))
-    out = velocity_features(d, key="_vol_key", ts=ts, amount="_vol_amt", bucket=bucket, constants=False,
-                            specs=[(name, "sum" if weight else "count", f"{int(seconds)} seconds")])
-    return out.drop("_vol_key", "_vol_amt").withColumn(name, F.col(name).cast("long"))
+    width = int(seconds) * 1_000_000
+    t = F.unix_micros(F.col(ts).cast("timestamp"))
+    n = F.col(weight).cast("long") if weight else F.lit(1).cast("long")
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    both = F.array(F.struct(t.alias("t"), n.alias("enters"), F.lit(None).cast("long").alias("leaves"), row.alias("row")),
+                   F.struct((t + width).alias("t"), F.lit(None).cast("long").alias("enters"), n.alias("leaves"),
+                            F.lit(None).cast(df.schema).alias("row")))
+    d = df.select(F.inline(both)).where("enters is not null or t is not null").withColumn("bucket", F.floor(F.col("t") / width))
+    order = Window.partitionBy("bucket").orderBy("t")
+    upto, before = order.rangeBetween(Window.unboundedPreceding, 0), order.rangeBetween(Window.unboundedPreceding, -1)
+    whole = order.rangeBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    zero = lambda c: F.coalesce(c, F.lit(0))
+    count = zero(F.sum("enters").over(upto)) + zero(F.sum("leaves").over(whole)) - zero(F.sum("leaves").over(before))
+    return d.withColumn(name, F.when(F.col("t").isNull(), F.sum("enters").over(whole)).otherwise(count)).where("row is not null").select("row.*", name)
 
 
 def flag_volume_spike(df: DataFrame, limit: int = C.VOLUME_SPIKE_THRESHOLD, ts: str = "event_ts",
