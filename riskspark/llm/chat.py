@@ -142,7 +142,8 @@ def _turn(head: Column, piece: Column) -> Column:
 def chat_digest(messages: DataFrame) -> DataFrame:
     """Contract columns of the registered query, read back from the formatted text and its loss spans."""
     f = format_messages(messages).withColumn("back", read_back(F.col("formatted")))
-    loss = F.array_join(F.transform("spans", lambda s: F.col("back")[s["turn_index"]]["text"]), "")
+    # what the mask covers, cut from the formatted text, then unescaped
+    loss = F.array_join(F.transform("spans", lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["length"]))), "")
     turns = F.array_join(F.transform("back", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
     return f.withColumn("loss", loss).select(
         "conv_id", F.size("back").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),

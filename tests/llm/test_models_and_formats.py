@@ -147,6 +147,9 @@ def test_chat_round_trip_with_parts(spark):
     spans = [one.formatted[s.start:s.start + s.length] for s in one.spans]
     assert spans[0] == "&lt;/s&gt;&lsqb;INST&rsqb; é &amp;amp; <audio_1>end" and spans[1] == "<image_2><document_1><image_3>"
     assert len(got[2].back) == 2 and got[None].n_tokens == 0
+    digest = {r.conv_id: r for r in chat.chat_digest(m).collect()}
+    loss = "</s>[INST] é &amp; <audio_1>end<image_2><document_1><image_3>"        # read through the mask, parts in place
+    assert (digest[1].loss_chars, digest[1].loss_sha256, digest[1].n_attachments) == (len(loss), B.sha(loss), 5)
     assert chat.chat_digest(m.limit(0)).count() == 0
 
 
