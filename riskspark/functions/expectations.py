@@ -78,7 +78,7 @@ def _raw_token(raw: Column | None, column: str) -> Column | None:
 
 
 def failed_flag(df: DataFrame, e: Expectation, raw: Column | None = None,
-                present: Column | None = None) -> Column:
+                present: Column | None = None, tokens: dict[str, Column] | None = None) -> Column:
     """True when the row fails ``e``.  Value expectations ignore nulls (V2 catches them).
 
     ``raw`` is the original JSON text when validating a stream of messages; the
@@ -112,7 +112,7 @@ def failed_flag(df: DataFrame, e: Expectation, raw: Column | None = None,
             c = iso_utc(c)  # typed timestamps are checked in their ISO-8601 UTC rendering
         return F.coalesce(~c.cast("string").rlike(p["regex"]), F.lit(False))
     if e.kind == "integer":
-        tok = _raw_token(raw, e.column)
+        tok = (tokens or {}).get(e.column, _raw_token(raw, e.column))
         if tok is None:  # typed table: integral type is guaranteed by the schema
             return F.lit(False)
         return F.coalesce(~tok.rlike(r"^-?[0-9]+$"), F.lit(False)) & tok.isNotNull()
@@ -131,14 +131,17 @@ def validate(df: DataFrame, suite: list[Expectation] | None = None, raw: str | N
 
 
 def validation_report(df: DataFrame, suite: list[Expectation] | None = None, raw: str | None = None,
-                      present: str | None = None) -> DataFrame:
-    """Per expectation, evaluated rows, unexpected count, success -- one aggregate pass."""
+                      present: str | None = None, tokens: dict[str, Column] | None = None) -> DataFrame:
+    """Per expectation, evaluated rows, unexpected count, success -- one aggregate pass.
+
+    ``tokens``: columns that already hold a message's raw token for the integer check (V10).
+    """
     suite = suite or default_suite(integer_check=raw is not None)
     rawc = F.col(raw) if raw else None
     presc = F.col(present) if present else None
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, e in enumerate(suite):
-        aggs.append(F.sum(failed_flag(df, e, rawc, presc).cast("int")).alias(f"_f{i}"))
+        aggs.append(F.sum(failed_flag(df, e, rawc, presc, tokens).cast("int")).alias(f"_f{i}"))
     wide = df.agg(*aggs)
     stack = ", ".join(f"{i}, '{e.name}', '{e.column or ''}', _f{i}" for i, e in enumerate(suite))
     return (wide.selectExpr("_n", f"stack({len(suite)}, {stack}) as (ordinal, expectation, column, unexpected)")

@@ -216,12 +216,18 @@ def score_events(events: DataFrame, snapshots: dict[str, DataFrame], champion=No
 
 
 def to_decision_log(df: DataFrame, now=None) -> DataFrame:
-    """Decision-log row with the reference's defaults applied."""
+    """The 18 inserted columns of a decision-log row with the reference's defaults applied.
+
+    Absent or null: drift_phase 0, final_score 0.0, decision 'unknown', served_by 'v1', event_ts the current time;
+    the JSON columns are an empty map or a struct of nulls.
+    """
     def c(name, default):
         return F.coalesce(F.col(name), default) if name in df.columns else default
 
+    def doc(names, kind):
+        return F.struct(*[F.lit(None).cast(kind).alias(n) for n in names])
+
     now_col = P.ts_lit(P.parse_time(now or "now"))
-    empty_d = F.create_map().cast("map<string,double>")
     return df.select(
         c("event_id", F.lit(None).cast("string")).alias("event_id"),
         c("event_ts", now_col).alias("event_ts"),
@@ -232,6 +238,10 @@ def to_decision_log(df: DataFrame, now=None) -> DataFrame:
         c("drift_phase", F.lit(0)).cast("int").alias("drift_phase"),
         c("final_score", F.lit(0.0)).cast("double").alias("final_score"),
         c("decision", F.lit("unknown")).alias("decision"),
-        c("features", empty_d).alias("features"),
+        c("scores", doc(["rules", "champion", "anomaly"], "double")).alias("scores"),
+        c("fallbacks", F.create_map().cast("map<string,boolean>")).alias("fallbacks"),
+        c("model_versions", doc(["champion_type", "registry_mode", "champion_ref"], "string")).alias("model_versions"),
+        c("features", F.create_map().cast("map<string,double>")).alias("features"),
+        c("latency_ms", doc(["rules", "champion", "anomaly", "total"], "double")).alias("latency_ms"),
         c("served_by", F.lit("v1")).alias("served_by"),
     )

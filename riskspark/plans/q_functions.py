@@ -402,20 +402,8 @@ def _report_sql():
 def v14_validation_report(spark, sf):
     parsed = M.parse_messages(X.raw_messages(spark, sf)).where(~F.col("is_dead"))
     suite = [e for e in M.message_suite() if e.kind != "columns"]
-    aggs = [F.count(F.lit(1)).alias("_n")]
-    for i, e in enumerate(suite):
-        if e.kind == "integer":
-            tok = F.col(f"s_{e.column}")
-            f = tok.isNotNull() & ~tok.rlike(r"^-?[0-9]+$")
-        else:
-            f = V.failed_flag(parsed, e)
-        aggs.append(F.sum(f.cast("int")).cast("bigint").alias(f"_f{i}"))
-    wide = parsed.agg(*aggs)
-    stack = ", ".join(f"{i + 1}, '{e.name}', '{e.column}', _f{i}" for i, e in enumerate(suite))
-    return wide.selectExpr("_n as evaluated",
-                           f"stack({len(suite)}, {stack}) as (ordinal, expectation, column, unexpected)") \
-        .select("ordinal", "expectation", "column", "evaluated", "unexpected",
-                (F.col("unexpected") == 0).alias("success"))
+    report = V.validation_report(parsed, suite, tokens={c: F.col(f"s_{c}") for c in C.ID_COLUMNS})
+    return report.withColumn("ordinal", F.col("ordinal") + 1)
 
 
 @register("v15_split_counts", with_ctes("""

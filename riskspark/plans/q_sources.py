@@ -82,20 +82,30 @@ SELECT event_id, user_id, CAST(CASE WHEN eid % 2 = 0 THEN NULL ELSE drift_phase
        coalesce(CASE WHEN eid % 2 = 0 THEN NULL ELSE drift_phase END, 0) AS drift_phase,
        coalesce(CASE WHEN eid % 3 = 0 THEN NULL ELSE final_score END, 0.0) AS final_score,
        coalesce(CASE WHEN eid % 5 = 0 THEN NULL ELSE decision END, 'unknown') AS decision,
-       coalesce(served_by, 'v1') AS served_by
+       coalesce(served_by, 'v1') AS served_by,
+       CASE WHEN eid % 7 <> 0 THEN rules_score END AS rules, CASE WHEN eid % 7 <> 0 THEN champion_score END AS champion,
+       CASE WHEN eid % 7 <> 0 THEN anomaly_score END AS anomaly,
+       CASE WHEN eid % 11 <> 0 THEN CAST(fb_rules_only AS INTEGER) + CAST(fb_champion_missing AS INTEGER) + CAST(fb_anomaly_missing AS INTEGER) ELSE 0 END AS flags,
+       CASE WHEN eid % 11 <> 0 THEN 3 ELSE 0 END AS flag_names,
+       CASE WHEN eid % 7 <> 0 THEN champion_type END AS champion_type, CASE WHEN eid % 11 <> 0 THEN latency_total END AS latency_total,
+       18 AS n_columns
 FROM decisions1""", "decisions1"), ops="S10")
 def s10_to_decision_log(spark, sf):
     d = X.decision_log(spark, sf, rescored=False)
     eid = F.col("event_id").cast("bigint")
-    raw = d.select("event_id", "event_ts", *C.ID_COLUMNS, "amount", "country", "channel",
-                   F.when(eid % 2 == 0, F.lit(None)).otherwise(F.col("drift_phase")).alias("drift_phase"),
-                   F.when(eid % 3 == 0, F.lit(None)).otherwise(F.col("final_score")).alias("final_score"),
-                   F.when(eid % 5 == 0, F.lit(None)).otherwise(F.col("decision")).alias("decision"),
-                   "served_by")
+
+    def without(c, k):
+        return F.when(eid % k == 0, F.lit(None)).otherwise(F.col(c)).alias(c)
+
+    raw = d.select("event_id", "event_ts", *C.ID_COLUMNS, "amount", "country", "channel", without("drift_phase", 2),
+                   without("final_score", 3), without("decision", 5), without("scores", 7), without("fallbacks", 11),
+                   without("model_versions", 7), without("latency_ms", 11), "served_by")
     out = to_decision_log(raw, now=X.AS_OF)
     x = raw.select("event_id", F.col("drift_phase").isNull().alias("x"))
-    return out.join(x, "event_id").select("event_id", "user_id", "x", "drift_phase", "final_score", "decision",
-                                          "served_by")
+    return out.join(x, "event_id").select(
+        "event_id", "user_id", "x", "drift_phase", "final_score", "decision", "served_by", "scores.rules", "scores.champion", "scores.anomaly",
+        F.size(P.true_flags("fallbacks")).alias("flags"), F.size("fallbacks").alias("flag_names"), "model_versions.champion_type",
+        F.col("latency_ms.total").alias("latency_total"), F.lit(len(out.columns)).alias("n_columns"))
 
 
 @register("s12_s13_reports", with_ctes(f"""
