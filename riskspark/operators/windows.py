@@ -7,12 +7,11 @@ Velocity features have two physical forms with identical results:
     key lands in one task -- a key holding a third of the table is a third of
     the table in one task.
 
-``method="prefix"``  (default) skew-safe form.  A RANGE aggregate over
-    ``[ts - w, ts]`` equals ``S(ts) - S(< ts - w)`` where ``S`` is the key's
-    running total.  Each instant also emits one probe per distinct window width at
-    ``ts - w``.  Running totals are computed inside ``(key, time bucket)``
-    partitions (so a hot key is split over its buckets) and shifted by the
-    bucket's carry-in (a per-(key, bucket) total, computed with partial
+``method="prefix"``  (default) skew-safe form.  A row enters at its instant and leaves a window
+    of width w at its instant + w; a RANGE aggregate over ``[ts - w, ts]`` is what
+    entered up to ts less what left before it.  Both run inside ``(key, time bucket)``
+    partitions (so a hot key is split over its buckets) and are shifted by the
+    totals of the key's earlier buckets (one row per (key, bucket), partial
     aggregation).  Sums run in DECIMAL so the subtraction is exact.
 """
 
@@ -78,68 +77,53 @@ def _velocity_window(df, key, ts, amount, specs, scale=2):
 
 
 def _velocity_prefix(df, key, ts, amount, specs, bucket_us, scale=2):
-    """Features depend on (key, instant) only: peers share one row from the start.
+    """A row enters at its instant and leaves the window of width w at its instant + w.
 
-    The rows of an instant are summed first (partial aggregation), the prefix
-    sums run over instants, and the features join back on (key, instant); no row
-    id is needed, so repeated or null ids keep their features.
+    Per key, ``feature_w(t) = entered at or before t - left_w before t``.  Both run over (key, time bucket)
+    partitions; the totals of a key's earlier buckets come from a table of one row per (key, bucket).
+    Rows stay where they are: no join back, so repeated or null ids keep their features, and the
+    leaving rows are bare timestamps and amounts.
     """
     widths = sorted({interval_micros(w) for _, _, w in specs})
-    t_us = F.unix_micros(F.col(ts).cast("timestamp"))
-    money = f"decimal({16 + scale},{scale})"
-    data = (df.groupBy(F.col(key).alias("_key"), t_us.alias("_t"))
-              .agg(F.count(F.lit(1)).alias("_one"), F.sum(F.col(amount).cast(money)).cast(f"decimal(38,{scale})").alias("_amt"),
-                   F.count(amount).alias("_nn")))
-    # the instant itself (kind 0) and one probe per distinct width: S(< ts - w), kind = width index + 1
-    kinds = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(w).alias("w")) for i, w in enumerate([0, *widths])])
-    u = data.select("_key", F.col("_t").alias("_at"), "_one", "_amt", "_nn", F.explode(kinds).alias("_p"))
+    money, wide = f"decimal({16 + scale},{scale})", f"decimal(38,{scale})"
+    moves = F.array(*[F.struct(F.lit(i).alias("k"), F.lit(w).cast("long").alias("w")) for i, w in enumerate([0, *widths])])
+    at = F.unix_micros(F.col(ts).cast("timestamp"))
+    u = df.select("*", at.alias("_at"), F.explode(moves).alias("_p")).where("_p.k = 0 or _at is not null")
     own = F.col("_p.k") == 0
-    u = u.select("_key", "_at", (F.col("_at") - F.col("_p.w")).alias("_t"), F.col("_p.k").alias("_kind"),
-                 F.when(own, F.col("_one")).otherwise(0).alias("_one"), F.when(own, F.col("_amt")).alias("_amt"),
-                 F.when(own, F.col("_nn")).otherwise(0).alias("_nn")).withColumn("_b", F.floor(F.col("_t") / F.lit(bucket_us)))
-    # probes sort before data rows at the same instant -> strictly-before for probes,
-    # peers-included for data rows
-    u = u.withColumn("_ord", F.when(F.col("_kind") == 0, 0).otherwise(-1))
-    w = (Window.partitionBy("_key", "_b").orderBy("_t", "_ord")
-         .rangeBetween(Window.unboundedPreceding, Window.currentRow))
-    u = (u.withColumn("_c_loc", F.sum("_one").over(w))
-          .withColumn("_n_loc", F.sum("_nn").over(w))
-          .withColumn("_s_loc", F.sum("_amt").over(w)))
-    # carry-in per (key, bucket): totals of all earlier buckets of that key.  Built
-    # from the union, so every bucket that holds a probe has a carry row.  The
-    # carry table has one row per (key, bucket): small even for a hot key.
-    # The bucket totals are the running sums at the bucket's last row: derive them from
-    # the windowed rows (already partitioned by (key, bucket): no extra scan / shuffle).
-    last = F.max_by(F.struct(F.col("_c_loc").alias("c"), F.col("_n_loc").alias("n"), F.col("_s_loc").alias("s")),
-                    F.struct("_t", "_ord"))
-    tot = u.groupBy("_key", "_b").agg(last.alias("_last")).select(
-        "_key", "_b", F.col("_last.c").alias("_c_tot"), F.col("_last.n").alias("_n_tot"),
-        F.coalesce(F.col("_last.s"), F.lit(0).cast(f"decimal(38,{scale})")).alias("_s_tot"))
-    wk = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = tot.select("_key", "_b",
-                       F.coalesce(F.sum("_c_tot").over(wk), F.lit(0)).alias("_c_off"),
-                       F.coalesce(F.sum("_n_tot").over(wk), F.lit(0)).alias("_n_off"),
-                       F.coalesce(F.sum("_s_tot").over(wk), F.lit(0).cast(f"decimal(38,{scale})")).alias("_s_off"))
-    c = carry.withColumnRenamed("_key", "_ck").withColumnRenamed("_b", "_cb")
-    allp = u.join(c, F.col("_key").eqNullSafe(F.col("_ck")) & F.col("_b").eqNullSafe(F.col("_cb"))).select(
-        "_key", "_at", "_kind",
-        (F.col("_c_loc") + F.col("_c_off")).alias("_C"), (F.col("_n_loc") + F.col("_n_off")).alias("_N"),
-        (F.coalesce(F.col("_s_loc"), F.lit(0)) + F.col("_s_off")).alias("_S"))
-    piv = allp.groupBy("_key", "_at").agg(*[
-        F.max(F.when(F.col("_kind") == k, F.struct(F.col("_C").alias("c"), F.col("_N").alias("n"),
-                                                   F.col("_S").alias("s")))).alias(f"_k{k}")
-        for k in range(len(widths) + 1)])
+    t = F.col("_at") + F.col("_p.w")
+    amt, nn = F.col(amount).cast(money), F.col(amount).isNotNull().cast("int")
+    u = u.select(*[F.when(own, F.col(f"`{c}`")).alias(c) for c in df.columns], F.col(key).alias("_key"), t.alias("_t"),
+                 F.floor(t / F.lit(bucket_us)).alias("_b"), F.col("_p.k").alias("_kind"), amt.alias("_amt"), nn.alias("_nn"))
+    zero = F.lit(0).cast(wide)
+
+    def three(k, over=lambda c: c):
+        """Rows, amounts and their sum that enter (k = 0) or leave the k-th width."""
+        mine = F.col("_kind") == k
+        return {"c": F.coalesce(over(F.sum(F.when(mine, 1))), F.lit(0)), "n": F.coalesce(over(F.sum(F.when(mine, F.col("_nn")))), F.lit(0)),
+                "s": F.coalesce(over(F.sum(F.when(mine, F.col("_amt")))).cast(wide), zero)}
+
+    order = Window.partitionBy("_key", "_b").orderBy("_t")
+    upto, before = order.rangeBetween(Window.unboundedPreceding, 0), order.rangeBetween(Window.unboundedPreceding, -1)
+    kinds = range(len(widths) + 1)
+    local = [v.alias(f"_{n}{k}") for k in kinds for n, v in three(k, lambda c, k=k: c.over(before if k else upto)).items()]
+    rows = u.select("*", *local).where("_kind = 0")
+    # totals of the key's earlier buckets, with partial aggregation: one row per (key, bucket)
+    tot = u.where("_t is not null").groupBy("_key", "_b").agg(*[v.alias(f"_{n}{k}") for k in kinds for n, v in three(k).items()])
+    earlier = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = tot.select(F.col("_key").alias("_ck"), F.col("_b").alias("_cb"),
+                       *[F.sum(f"_{n}{k}").over(earlier).alias(f"_o{n}{k}") for k in kinds for n in "cns"])
+    j = rows.join(carry, F.col("_key").eqNullSafe(F.col("_ck")) & (F.col("_b") == F.col("_cb")), "left")
+
+    def total(n, k):
+        return F.col(f"_{n}{k}") + F.coalesce(F.col(f"_o{n}{k}").cast(wide if n == "s" else "long"), zero if n == "s" else F.lit(0))
+
     feats = []
     for name, agg, width in specs:
         k = widths.index(interval_micros(width)) + 1
-        cnt_rows = F.col("_k0.c") - F.col(f"_k{k}.c")
-        cnt_nn = F.col("_k0.n") - F.col(f"_k{k}.n")
-        dsum = F.col("_k0.s") - F.col(f"_k{k}.s")
-        dsum = F.when(cnt_nn > 0, dsum)
+        cnt_rows, cnt_nn = (total(n, 0) - total(n, k) for n in "cn")
+        dsum = F.when(cnt_nn > 0, total("s", 0) - total("s", k))
         feats.append(_finish(name, agg, cnt_rows if agg == "count" else cnt_nn, dsum))
-    fe = piv.select("_key", "_at", *feats)
-    own_t = F.unix_micros(F.col(ts).cast("timestamp"))
-    return (df.join(fe, F.col(key).eqNullSafe(F.col("_key")) & own_t.eqNullSafe(F.col("_at")), "left").drop("_key", "_at"))
+    return j.select(*[F.col(f"`{c}`") for c in df.columns], *feats)
 
 
 # ---------------------------------------------------------------------------
