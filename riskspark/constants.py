@@ -91,3 +91,6 @@ LABEL_BATCH = 500
 LABEL_DELAY_MINUTES = 5
 RECENT_MAX = 200
 MODEL_REF_CHARS = 40
+
+# FIXED VALUES: upper bounds of the score-delta histogram's buckets.
+DELTA_BUCKETS = [0.005, 0.01, 0.025, 0.05, 0.075, 0.1, 0.25, 0.5, 0.75, 1.0, 2.5, 5.0, 7.5, 10.0, float("inf")]

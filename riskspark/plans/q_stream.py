@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from .. import constants as C
 from ..functions import messages as M
-from ..session import checkpoint_dir, scratch_path
+from ..session import checkpoint_dir, scratch_path, write_scratch
 from ..sources import fixtures as X
 from ..streaming import pipelines as ST
 from .oracle import with_ctes
 from .q_drift import _PL
 from .q_functions import proxy_sql
+from .q_joins import _V2_SQL
 from .q_models import _CHECK_SQL, _SNAPS
 from .registry import register
 
@@ -41,6 +42,21 @@ def _land_table(spark, df, name: str, order: str) -> tuple[str, object]:
     return path, spark.read.parquet(path).schema
 
 
+def _land_in_order(spark, df, name: str, order: str, files: int = 6) -> tuple[str, object]:
+    """One file per time slice, each written after the one before: micro-batches follow the order of arrival."""
+    checkpoint_dir(spark)
+    path = scratch_path(spark, f"landing-{name}")
+    df = write_scratch(df, f"arrivals-{name}")
+    at = F.unix_micros(F.col(order).cast("timestamp"))
+    cuts = df.agg(F.percentile_approx(at, [i / files for i in range(1, files)], 10000)).first()[0] or []
+    edges = [None, *sorted(set(cuts)), None]
+    for lo, hi in zip(edges, edges[1:]):
+        part = df.where(at > lo) if lo is not None else df
+        part = part.where(at <= hi) if hi is not None else part
+        part.coalesce(1).write.mode("append").parquet(path)
+    return path, df.schema
+
+
 def _decision_stream(spark, sf):
     d = X.decision_log(spark, sf).select(
         "event_id", "user_id", "final_score", "decision", "fallbacks", "served_by", "created_at",
@@ -67,6 +83,26 @@ def st1_validate_stream(spark, sf):
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+@register("st1_spike_stream", with_ctes("""
+SELECT 'validated' AS "table", event_id, CAST(NULL AS VARCHAR) AS reason FROM spikes
+WHERE len(failed_raw) = 0 AND NOT spike GROUP BY event_id
+UNION ALL
+SELECT 'quarantine', event_id, first(CASE WHEN len(failed_raw) = 0 THEN 'validation_failed'
+  ELSE 'validation_failed: ' || array_to_string(list_sort(list_distinct(failed_raw)), ', ') END
+  || CASE WHEN spike THEN '; volume_spike' ELSE '' END ORDER BY validated_at) FROM spikes
+WHERE len(failed_raw) > 0 OR spike GROUP BY event_id""", "msg_flags", extra=[("spikes", """
+SELECT *, count(*) OVER (ORDER BY validated_at RANGE BETWEEN INTERVAL 60 SECONDS PRECEDING AND CURRENT ROW) > 40 AS spike
+FROM msg_flags WHERE NOT is_dead""")]), ops="ST1 V16 P34 S6 S7 S9")
+def st1_spike_stream(spark, sf):
+    """Messages on the landing's clock in several micro-batches; spikes that cross batches are found through the ring."""
+    land, schema = _land_in_order(spark, X.raw_messages(spark, sf).select("raw", "arrived_at"), "spikes", "arrived_at", 4)
+    raw = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(land)
+    out = scratch_path(spark, "routed-spikes")
+    ST.validate_stream(raw, out, scratch_path(spark, "ckpt-spikes"), spike_limit=40).awaitTermination()
+    valid = spark.read.parquet(f"{out}/txn_validated").select(F.lit("validated").alias("table"), "event_id", F.lit(None).cast("string").alias("reason"))
+    return valid.unionByName(spark.read.parquet(f"{out}/txn_quarantine").select(F.lit("quarantine").alias("table"), "event_id", "reason"))
+
+
 def _parsed_stream(spark, sf):
     land = _land_messages(spark, sf)
     return ST.with_event_time(M.parse_messages(ST.raw_event_stream(spark, land)))
@@ -150,6 +186,27 @@ def st9_shadow_stream(spark, sf):
     return ST.run_to_table(j, "shadow")
 
 
+@register("st9_shadow_totals", with_ctes(f"""
+SELECT le, count(*) FILTER (WHERE d <= le) AS n, count(*) AS pairs, count(*) FILTER (WHERE decision_diff) AS decision_diff,
+       round(CAST(sum(CAST(d AS DECIMAL(20, 10))) AS DOUBLE), 6) AS delta_sum
+FROM (SELECT b.final_score - a.final_score AS d, a.decision <> b.decision AS decision_diff
+      FROM decisions1 a JOIN v2 b ON a.event_id = b.event_id) p,
+     (SELECT unnest([{', '.join(f"CAST('{b}' AS DOUBLE)" for b in C.DELTA_BUCKETS)}]) AS le) l
+GROUP BY le""", "decisions1", extra=[_V2_SQL]), ops="ST9 J11")
+def st9_shadow_totals(spark, sf):
+    """Running histogram of score deltas and difference count over several micro-batches."""
+    from .q_joins import _shadow_pair
+    v1, v2 = _shadow_pair(spark, sf)
+    d = X.decision_log(spark, sf, rescored=False).select("event_id", "created_at")
+    p1, s1 = _land_table(spark, v1.join(d, "event_id"), "v1", "created_at")
+    p2, s2 = _land_table(spark, v2.join(d, "event_id"), "v2", "created_at")
+    read = lambda s, p: spark.readStream.schema(s).option("maxFilesPerTrigger", 2).parquet(p)
+    root = scratch_path(spark, "shadow-totals")
+    ST.shadow_totals_stream(read(s1, p1), read(s2, p2), root, scratch_path(spark, "ckpt-shadow-totals"),
+                            delay="30 days").awaitTermination()
+    return ST.delta_histogram(ST.shadow_totals(spark, root)).withColumn("delta_sum", F.round(F.col("delta_sum").cast("double"), 6))
+
+
 def _scored_stream(spark, sf):
     """Events of several micro-batches through the saved champion and forest."""
     from .q_joins import _snapshots
@@ -192,6 +249,26 @@ def st11_velocity_stream(spark, sf):
     return out.select("event_id", "user_txn_count_5m", "user_txn_count_1h", "user_amount_sum_1h")
 
 
+@register("st11_velocity_late", with_ctes("""
+SELECT event_id, user_txn_count_5m, user_txn_count_1h, user_amount_sum_1h FROM feats""", "feats"),
+          ops="ST11 W1 W2 W3")
+def st11_velocity_late(spark, sf):
+    """Rows up to eight minutes late over several micro-batches, each emitted once and equal to the batch form.
+
+    A last marker row three hours after all others moves the watermark past them; it is never passed itself.
+    """
+    v = X.txn_validated(spark, sf).select("event_id", "user_id", "event_ts", "amount")
+    late = F.expr("make_interval(0, 0, 0, 0, 0, cast(event_id as bigint) % 5 * 2)")
+    v = v.withColumn("arrives", F.col("event_ts") + late)
+    p, s = _land_in_order(spark, v, "late", "arrives", 5)
+    marker = spark.read.schema(s).parquet(p).agg(*[(F.max(c) + F.expr("INTERVAL 3 HOURS")).alias(c) for c in ("event_ts", "arrives")])
+    marker.select(*[F.col(f.name) if f.name in marker.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in s]) \
+        .write.mode("append").parquet(p)
+    events = spark.readStream.schema(s).option("maxFilesPerTrigger", 1).parquet(p)
+    out = ST.run_to_table(ST.velocity_final_stream(events), "velocity-late")
+    return out.select("event_id", "user_txn_count_5m", "user_txn_count_1h", "user_amount_sum_1h")
+
+
 @register("st12_delayed_labels", with_ctes(f"""
 SELECT label_source, label, count(*) AS n FROM (
   SELECT coalesce({_PL}, {proxy_sql('event_id', 'drift_phase', 'amount', 'channel')}) AS label,
