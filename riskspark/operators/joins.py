@@ -39,60 +39,93 @@ def asof_join(entities: DataFrame, features: DataFrame, key: str, ts: str = "eve
               bucket: str = "1 day", prefix: str = "") -> DataFrame:
     """Per entity row, the latest feature row with ``f.ts <= e.ts`` and ``f.ts >= e.ts - ttl``.
 
-    Physical shape (skew-safe, no pairs):
-    1. feature rows deduped per ``(key, ts)`` keeping the newest ``created``
-       (``max_by``, partial aggregation);
-    2. union with entity rows, partitioned by ``(key, time bucket)`` so a hot
-       key is spread over its buckets; ``last(ignorenulls)`` over
-       ``ORDER BY ts, kind`` (features sort before entities at the same instant);
-    3. each bucket's carry-in = the newest feature of the key's earlier buckets,
-       from a one-row-per-(key, bucket) table;
-    4. TTL test on the chosen feature's timestamp.
+    Of the feature rows of one key and instant the newest by ``created`` counts.  A null key or time has no features.
+    No pairs are made; see ``_running`` for the plan.
     """
     from .windows import interval_micros
 
     fts = feature_ts or ts
     fcols = feature_cols or [c for c in features.columns if c not in (key, fts, created)]
-    ttl_us = interval_micros(ttl)
-    b_us = interval_micros(bucket)
-    fd = (features.groupBy(F.col(key).alias("_key"), F.col(fts).alias("_fts"))
-                  .agg(F.max_by(F.struct(*[F.col(c) for c in fcols]), F.col(created)).alias("_fv")))
-    t_f = F.unix_micros(F.col("_fts").cast("timestamp"))
-    frows = fd.select("_key", t_f.alias("_t"), F.lit(0).alias("_kind"),
-                      F.struct(F.col("_fts").alias("ts"), F.col("_fv").alias("v")).alias("_f"),
-                      F.lit(None).cast(entities.select(F.struct(*entities.columns)).schema[0].dataType).alias("_e"))
-    erows = entities.select(F.col(key).alias("_key"), F.unix_micros(F.col(ts).cast("timestamp")).alias("_t"),
-                            F.lit(1).alias("_kind"),
-                            F.lit(None).cast(frows.schema["_f"].dataType).alias("_f"),
-                            F.struct(*entities.columns).alias("_e"))
-    u = frows.unionByName(erows).withColumn("_b", F.floor(F.col("_t") / F.lit(b_us)))
-    w = (Window.partitionBy("_key", "_b").orderBy("_t", "_kind")
+    ent = entities.select(F.col(key).alias("_key"), _micros(ts).alias("_t"), F.struct(*entities.columns).alias("_e"))
+    rows = _running(_feature_rows(features, key, fts, created, fcols), ent, ["_key"], interval_micros(bucket), interval_micros(ttl))
+    return rows.select(*[F.col(f"_e.`{c}`") for c in entities.columns], *[F.col(f"_v.`{c}`").alias(prefix + c) for c in fcols])
+
+
+def _micros(c: str) -> Column:
+    return F.unix_micros(F.col(c).cast("timestamp"))
+
+
+def _feature_rows(features: DataFrame, key: str, ts: str, created: str, cols: list[str]) -> DataFrame:
+    return features.where(F.col(key).isNotNull() & F.col(ts).isNotNull()).select(
+        F.col(key).alias("_key"), _micros(ts).alias("_t"), F.col(created).alias("_created"),
+        F.struct(*[F.col(c) for c in cols]).alias("_v"))
+
+
+def _running(frows: DataFrame, erows: DataFrame, keys: list[str], bucket: int, ttl: int) -> DataFrame:
+    """Entity rows ``(keys, _t, _e)`` with ``_v``, the newest feature at or before their instant and not older than ``ttl``.
+
+    Features and entities are one table, partitioned by (keys, time bucket) so a hot key is spread over its buckets.
+    One ordered window carries the newest feature along a bucket (features before entities at one instant, the newest
+    ``_created`` last, so no rows have to be de-duplicated first); what a bucket starts with comes from a table of
+    one row per (keys, bucket), aggregated before its shuffle.
+    """
+    f = frows.select(*keys, "_t", "_created", F.struct("_t", "_v").alias("_f"))
+    u = f.unionByName(erows.select(*keys, "_t", "_e"), allowMissingColumns=True)
+    u = u.withColumn("_b", F.floor(F.col("_t") / F.lit(bucket)))
+    w = (Window.partitionBy(*keys, "_b").orderBy("_t", F.col("_e").isNotNull(), "_created")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = u.withColumn("_loc", F.last("_f", ignorenulls=True).over(w))
-    # newest feature of each (key, bucket) = the running value at the bucket's last row,
-    # taken from the windowed rows (same partitioning: no extra scan or shuffle)
-    kb = u.groupBy("_key", "_b").agg(F.max_by("_loc", F.struct("_t", "_kind")).alias("_lb"))
-    wk = Window.partitionBy("_key").orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = kb.select("_key", "_b", F.last("_lb", ignorenulls=True).over(wk).alias("_carry"))
-    ent = u.where(F.col("_kind") == 1).join(carry, ["_key", "_b"], "left")
-    pick = F.coalesce(F.col("_loc"), F.col("_carry"))
-    e_ts = F.col(f"_e.{ts}")
-    fresh = F.unix_micros(pick["ts"].cast("timestamp")) >= F.unix_micros(e_ts.cast("timestamp")) - F.lit(ttl_us)
-    chosen = F.when(pick.isNotNull() & fresh, pick)
-    out = ent.select("_e.*", chosen.alias("_pick"))
-    return out.select(*entities.columns,
-                      *[F.col(f"_pick.v.{c}").alias(prefix + c) for c in fcols])
+    here = u.withColumn("_here", F.last("_f", ignorenulls=True).over(w)).where("_e is not null")
+    when = F.when(F.col("_f").isNotNull(), F.struct("_t", "_created"))
+    newest = u.groupBy(*keys, "_b").agg(F.max_by("_f", when).alias("_newest"))
+    wk = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = newest.select(*keys, "_b", F.last("_newest", ignorenulls=True).over(wk).alias("_carry"))
+    pick = F.coalesce("_here", "_carry")
+    return here.join(carry, [*keys, "_b"], "left").select(
+        *keys, "_t", "_e", F.when(pick["_t"] >= F.col("_t") - F.lit(ttl), pick["_v"]).alias("_v"))
 
 
 def historical_features(entities: DataFrame, views: dict[str, DataFrame], ts: str = "event_ts",
                         created: str = "validated_at", ttl: str = f"{C.FEATURE_TTL_DAYS} days",
-                        feature_lists: dict[str, list[str]] | None = None) -> DataFrame:
-    """J1 for several feature views: one as-of join per entity key."""
-    out = entities
+                        feature_lists: dict[str, list[str]] | None = None, bucket: str = "1 day") -> DataFrame:
+    """J1 for several feature views at once: one merged as-of join over (view, key, time).
+
+    The answer depends on an entity's time and keys alone, so only those go through the as-of join, once per view;
+    the views' answers are put together per (time, keys) and joined to the entities once, whatever columns they have.
+    Rows with a null time or a null key keep null features of the views concerned.
+    """
+    from .windows import interval_micros
+
     fl = feature_lists or C.FEATURE_VIEWS
-    for key, fdf in views.items():
-        out = asof_join(out, fdf, key, ts=ts, created=created, ttl=ttl, feature_cols=fl.get(key))
-    return out
+    keys = list(views)
+    cols = {k: fl.get(k) or [c for c in v.columns if c not in (k, ts, created)] for k, v in views.items()}
+    probe = [ts, *keys]
+    types = {d.schema[k].dataType.simpleString() for k, v in views.items() for d in (v, entities)}
+    as_key = (lambda k: F.col(k)) if len(types) == 1 else (lambda k: F.col(k).cast("string"))
+    asked = F.struct(*[F.col(c) for c in probe]).alias("_e")
+    frows = erows = None
+    for i, (k, v) in enumerate(views.items()):
+        f = _feature_rows(v, k, ts, created, cols[k]).select(
+            F.lit(i).alias("_view"), as_key("_key").alias("_key"), "_t", "_created", F.struct(F.col("_v").alias(f"v{i}")).alias("_v"))
+        # one struct with a field per view, so the rows of all views have one type
+        f = f.withColumn("_v", F.struct(*[F.col("_v")[f"v{j}"].alias(f"v{j}") if j == i else
+                                          F.lit(None).cast(_struct_type(views[kj], cols[kj])).alias(f"v{j}") for j, kj in enumerate(keys)]))
+        e = entities.where(F.col(k).isNotNull() & F.col(ts).isNotNull()).select(
+            F.lit(i).alias("_view"), as_key(k).alias("_key"), _micros(ts).alias("_t"), asked)
+        frows = f if frows is None else frows.unionByName(f)
+        erows = e if erows is None else erows.unionByName(e)
+    rows = _running(frows, erows, ["_view", "_key"], interval_micros(bucket), interval_micros(ttl))
+    found = rows.groupBy(*[F.col(f"_e.`{c}`").alias(f"_p{n}") for n, c in enumerate(probe)]).agg(
+        *[F.first(F.col("_v")[f"v{i}"][c], ignorenulls=True).alias(f"_v{i}_{n}") for i, k in enumerate(keys) for n, c in enumerate(cols[k])])
+    same = [F.col(c).eqNullSafe(F.col(f"_p{n}")) for n, c in enumerate(probe)]
+    on = same[0]
+    for x in same[1:]:
+        on = on & x
+    return entities.join(found, on, "left").select(
+        *entities.columns, *[F.col(f"_v{i}_{n}").alias(c) for i, k in enumerate(keys) for n, c in enumerate(cols[k])])
+
+
+def _struct_type(df: DataFrame, cols: list[str]):
+    return df.select(F.struct(*[F.col(c) for c in cols])).schema[0].dataType
 
 
 # ---------------------------------------------------------------------------

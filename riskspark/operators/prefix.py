@@ -44,10 +44,9 @@ def _numeric_key(df: DataFrame, c: str) -> Column:
 def _materialize(df: DataFrame) -> DataFrame:
     """The kernel reads its input three times (quantiles, bucket totals, final pass): write it once
     to the shared checkpoint folder so an expensive upstream plan runs once and lineage is cut."""
-    from ..session import checkpoint_dir
+    from ..session import write_scratch
 
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    return write_scratch(df, "prefix")
 
 
 def _bucketize(df: DataFrame, lead: str, n_buckets: int, rel_err: float = 0.001):

@@ -10,6 +10,7 @@ from ..functions import scalar as P
 from ..operators import joins as J
 from ..operators import ranking as R
 from ..operators import windows as W
+from ..session import write_scratch
 from ..sources import fixtures as X
 from ..sources.sinks import dead_letters, quarantine_rows
 from .oracle import decide_sql, with_ctes
@@ -35,8 +36,9 @@ ASOF LEFT JOIN fd f ON e.user_id = f.user_id AND e.event_ts >= f.fts""",
                                "txn_validated", "feats", extra=[_FD_SQL]), ops="J1")
 def j1_asof(spark, sf):
     ent = X.txn_validated(spark, sf).select("event_id", "user_id", (F.col("event_ts") + F.expr(_ASK)).alias("event_ts"))
-    feats = W.velocity_features(X.txn_validated(spark, sf)).select("user_id", "event_ts", "validated_at", "user_txn_count_1h",
-                                             "user_amount_sum_1h", "user_avg_amount_30d")
+    # the offline feature table, computed once: the join reads it twice (rows and carries)
+    feats = write_scratch(W.velocity_features(X.txn_validated(spark, sf)).select(
+        "user_id", "event_ts", "validated_at", "user_txn_count_1h", "user_amount_sum_1h", "user_avg_amount_30d"), "offline-features")
     return J.asof_join(ent, feats, "user_id", ts="event_ts", created="validated_at", ttl="2 hours",
                        bucket="1 hour")
 

@@ -16,12 +16,11 @@ CONTEXT = ["amount", "geo_mismatch", "is_new_device", "is_new_ip", "drift_phase"
 
 def feature_views(validated: DataFrame) -> dict[str, DataFrame]:
     """Feature rows per entity key: ``(key, event_ts, validated_at, features...)``."""
-    from ..session import checkpoint_dir
+    from ..session import write_scratch
 
     # the offline feature table is computed once and written to the shared checkpoint
-    # folder (as an offline store would hold it); the four views read from it
-    checkpoint_dir(validated.sparkSession)
-    f = velocity_features(validated).checkpoint(eager=True)
+    # folder (as an offline store would hold it); the four views read their columns from it
+    f = write_scratch(velocity_features(validated), "offline-features")
     return {k: f.select(k, "event_ts", "validated_at", *cols) for k, cols in C.FEATURE_VIEWS.items()}
 
 
@@ -31,10 +30,9 @@ def training_frame(validated: DataFrame, labels: DataFrame | None = None, strict
 
     ``strict`` fails the job when any feature is still null after the joins.
     """
-    ent = validated.select("event_id", "event_ts", *C.ID_COLUMNS)
-    hf = J.historical_features(ent, feature_views(validated), ts="event_ts", created="validated_at", ttl=ttl)
-    ctx = validated.select("event_id", *CONTEXT, "country", "channel", "payload")
-    frame = J.attach_context(hf, ctx, ["event_id"])
+    # the context (J7) is columns of the same rows: it rides along in the one join of the features
+    ent = validated.select("event_id", "event_ts", *C.ID_COLUMNS, *CONTEXT, "country", "channel", "payload")
+    frame = J.historical_features(ent, feature_views(validated), ts="event_ts", created="validated_at", ttl=ttl)
     if labels is not None:
         frame = J.training_base(frame, labels)
         lab = P.training_label(frame, key="is_fraud", delayed="delayed_label")
