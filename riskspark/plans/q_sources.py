@@ -138,11 +138,40 @@ def s14_read_profiles(spark, sf):
         .csv(f"{d}/users.csv")
     t.select("merchant_id").distinct().write.option("header", "true").csv(f"{d}/merchants.csv")
     prof = T.read_profiles(spark, d)
-    users = prof["users"].withColumn("user_id", F.col("user_id").cast("bigint"))
-    return J.enrich_profiles(t.select("event_id", "user_id"), {"users": ("user_id", users)}) \
+    return J.enrich_profiles(t.select("event_id", "user_id"), {"users": ("user_id", prof["users"])}) \
         .groupBy("home_country").agg(F.count(F.lit(1)).alias("n"))
 
 
+_PROFILE_SQL = [("u", "SELECT user_id, min(home_country) AS home_country, CAST(user_id % 17 AS DOUBLE) / 4 AS avg_amount_30d FROM txn GROUP BY user_id"),
+                ("m", "SELECT DISTINCT merchant_id, CAST(merchant_id % 3 AS INTEGER) AS merchant_risk_tier FROM txn"),
+                ("d", "SELECT DISTINCT device_id, CAST(device_id % 8 AS DOUBLE) / 8 AS device_risk_score FROM txn WHERE device_id % 13 <> 0"),
+                ("i", "SELECT DISTINCT ip_id, CASE WHEN ip_id % 7 <> 0 THEN CAST(ip_id % 4 AS DOUBLE) / 4 END AS ip_risk_score FROM txn")]
+
+
+@register("s14_typed_profiles", with_ctes("""
+SELECT t.event_id, u.home_country, u.avg_amount_30d, m.merchant_risk_tier, d.device_risk_score, i.ip_risk_score
+FROM txn t LEFT JOIN u ON t.user_id = u.user_id LEFT JOIN m ON t.merchant_id = m.merchant_id
+LEFT JOIN d ON t.device_id = d.device_id LEFT JOIN i ON t.ip_id = i.ip_id""", "txn", extra=_PROFILE_SQL), ops="S14 J9")
+def s14_typed_profiles(spark, sf):
+    """All four profile files, written as CSV, read typed and joined to every event; some devices lack a profile, some scores do not parse."""
+    root = scratch_path(spark, "profiles")
+    t = X.txn(spark, sf)
+    files = {
+        "users": t.groupBy("user_id").agg(F.min("home_country").alias("home_country"))
+                  .withColumn("avg_amount_30d", (F.col("user_id") % 17).cast("double") / 4),
+        "merchants": t.select("merchant_id").distinct().withColumn("merchant_risk_tier", F.col("merchant_id") % 3),
+        "devices": t.where("device_id % 13 <> 0").select("device_id").distinct()
+                    .withColumn("device_risk_score", (F.col("device_id") % 8).cast("double") / 8),
+        "ips": t.select("ip_id").distinct().withColumn("ip_risk_score", F.when(F.col("ip_id") % 7 == 0, F.lit("unknown"))
+                                                       .otherwise(((F.col("ip_id") % 4).cast("double") / 4).cast("string"))),
+    }
+    for name, df in files.items():
+        df.write.option("header", "true").csv(f"{root}/{name}.csv")
+    prof = T.read_profiles(spark, root)
+    out = J.enrich_profiles(t.select("event_id", *C.ID_COLUMNS), {n: (T.PROFILE_KEYS[n], d) for n, d in prof.items()})
+    return out.select("event_id", "home_country", "avg_amount_30d", "merchant_risk_tier", "device_risk_score", "ip_risk_score")
+
+
 @register("m8_positive_score", with_ctes("""
 SELECT event_id, least(greatest(final_score * CAST(1.5 AS DOUBLE) - CAST(0.2 AS DOUBLE), CAST(0 AS DOUBLE)), CAST(1 AS DOUBLE)) AS clamped FROM decisions1""", "decisions1"),
           ops="M8 P29")

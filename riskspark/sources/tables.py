@@ -71,13 +71,28 @@ def invalid_timestamp_count(df: DataFrame, col: str = "event_ts") -> DataFrame:
     return df.agg(F.count_if(F.col(col).isNotNull() & parsed.isNull()).alias("invalid"))
 
 
+#: columns of the four profile files that are not text
+PROFILE_TYPES = {
+    "users": {"user_id": "bigint", "avg_amount_30d": "double", "baseline_activity_rate": "double", "baseline_risk": "double"},
+    "merchants": {"merchant_id": "bigint", "merchant_chargeback_rate": "double", "merchant_risk_tier": "int"},
+    "devices": {"device_id": "bigint", "device_risk_score": "double"},
+    "ips": {"ip_id": "bigint", "ip_risk_score": "double"},
+}
+PROFILE_KEYS = {"users": "user_id", "merchants": "merchant_id", "devices": "device_id", "ips": "ip_id"}
+
+
 def read_profiles(spark: SparkSession, directory: str) -> dict[str, DataFrame]:
-    """Users / merchants / devices / ips dimension files (CSV with header)."""
+    """Users / merchants / devices / ips dimension files (CSV with header), typed by column name.
+
+    No schema is inferred (that would be a pass over the data); a value that does not parse is null.  Files that are
+    not there are left out.
+    """
     out = {}
-    for name in ("users", "merchants", "devices", "ips"):
+    for name, types in PROFILE_TYPES.items():
         p = f"{directory.rstrip('/')}/{name}.csv"
         if path_exists(spark, p):
-            out[name] = spark.read.option("header", "true").option("inferSchema", "false").csv(p)
+            raw = spark.read.option("header", "true").option("inferSchema", "false").csv(p)
+            out[name] = raw.select(*[F.col(f"`{c}`").try_cast(types[c]).alias(c) if c in types else F.col(f"`{c}`") for c in raw.columns])
     return out
 
 
