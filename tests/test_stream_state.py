@@ -118,3 +118,21 @@ def test_event_time_velocity_equals_batch_with_late_rows(spark, bucket):
     want = velocity_features(df.withColumn("amount", F.coalesce("amount", F.lit(0.0))), method="window").select(*cols)
     assert got.count() == 300
     assert got.select(*cols).exceptAll(want).count() == 0 and want.exceptAll(got.select(*cols)).count() == 0
+
+
+def test_state_of_event_time_velocity_does_not_grow_with_the_keys(spark):
+    """500 users and rows without a user in 4 hash parts: one state per part and time bucket, features per user as in the batch form."""
+    rows = [(str(i), i % 500 if i % 97 else None, T0 + timedelta(seconds=i), float(i % 13), 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "event_id string, user_id long, event_ts timestamp_ntz, amount double, n int")
+    marker = spark.createDataFrame([(None, None, T0 + timedelta(days=1), None, 1)], df.schema)
+    s = _files(spark, df.union(marker), "test-parts", "n", [0, 1])
+    path = scratch_path(spark, "test-parts-out")
+    q = (ST.velocity_final_stream(s, parts=4).writeStream.format("parquet").option("path", path)
+         .option("checkpointLocation", scratch_path(spark, "test-parts-ck")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    states = [op["numRowsTotal"] for p in q.recentProgress for op in p["stateOperators"]]
+    assert 0 < max(states) <= 4 * 2 + 2
+    cols = ["event_id", "user_id", "user_txn_count_5m", "user_txn_count_1h", "user_amount_sum_1h"]
+    got = spark.read.parquet(path).select(*cols)
+    want = velocity_features(df, method="window").select(*cols)
+    assert got.count() == 3000 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
