@@ -153,11 +153,13 @@ def route_sinks(spark: SparkSession, v: DataFrame, root: str, batch_id: int | No
 
     With ``spike_limit`` messages that arrive in a volume spike go to quarantine
     too, their reason ending in ``; volume_spike``.  The batch is persisted once so
-    the three writes do not re-read the source; all three inserts ignore keys that
-    are already there, so a replayed batch adds nothing.
+    the ring and the three writes do not re-read (and parse) the source; all three
+    inserts ignore keys that are already there, so a replayed batch adds nothing.
     """
+    parsed = None
     if spike_limit is not None and "arrived_at" in v.columns:
-        v = flag_spikes(spark, v, root, batch_id, spike_limit)
+        parsed = v.persist()
+        v = flag_spikes(spark, parsed, root, batch_id, spike_limit)
     spike = "volume_spike" if "volume_spike" in v.columns else None
     v = v.persist()
     try:
@@ -177,6 +179,8 @@ def route_sinks(spark: SparkSession, v: DataFrame, root: str, batch_id: int | No
         return {"validated": n_valid, "quarantined": n_quar, "dead_letter": n_dead}
     finally:
         v.unpersist()
+        if parsed is not None:
+            parsed.unpersist()
 
 
 def write_report(df: DataFrame, root: str, as_of, name: str, fmt: str = "json") -> str:

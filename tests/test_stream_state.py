@@ -136,3 +136,23 @@ def test_state_of_event_time_velocity_does_not_grow_with_the_keys(spark):
     got = spark.read.parquet(path).select(*cols)
     want = velocity_features(df, method="window").select(*cols)
     assert got.count() == 3000 and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_a_spiking_batch_is_parsed_once(spark):
+    """The ring, its oldest instant and the three sinks read one parsed batch."""
+    from pyspark.sql.types import StringType
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def touch(x):
+        seen.add(1)
+        return x
+
+    df = spark.createDataFrame([(str(i), T0 + timedelta(seconds=i), "x") for i in range(50)], "event_id string, arrived_at timestamp_ntz, raw string")
+    v = df.withColumn("raw", F.udf(touch, StringType()).asNondeterministic()("raw"))
+    v = v.select("*", (F.col("raw") == "x").alias("is_dead"), F.lit(False).alias("is_valid"), F.array().cast("array<string>").alias("failed"),
+                 *[F.lit(None).cast(t).alias(c) for c, t in (("event_type", "string"), ("event_ts", "string"), ("user_id", "double"),
+                   ("merchant_id", "double"), ("device_id", "double"), ("ip_id", "double"), ("amount", "double"), ("currency", "string"),
+                   ("country", "string"), ("channel", "string"), ("drift_phase", "double"))])
+    assert SK.route_sinks(spark, v, scratch_path(spark, "test-parsed-once"), 0, 10)["dead_letter"] == 50
+    assert seen.value == 50
