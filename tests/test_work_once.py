@@ -38,3 +38,18 @@ def test_snapshots_are_plain_tables(spark, tmp_path):
     for key, s in snaps.items():
         assert "Window" not in _plan(s) and "Aggregate" not in _plan(s)
         assert s.count() == s.select(key).distinct().count()
+
+
+def test_rescored_decisions_and_slices_compute_features_once(spark, tmp_path):
+    from riskspark.plans import q_metrics as Q
+    from riskspark.sources import fixtures as X
+
+    sf = _events(spark, tmp_path)
+    log = X.decision_log(spark, sf)
+    assert "events.parquet" not in _plan(log)
+    assert "Union" not in log._jdf.queryExecution().optimizedPlan().toString()
+    once = X.decision_log(spark, sf, rescored=False)
+    key = lambda df: sorted((r.event_id, r.created_at) for r in df.select("event_id", "created_at").collect())
+    again = [(e, t + datetime.timedelta(minutes=1)) for e, t in key(once) if int(e) % 37 == 0]
+    assert again and key(log) == sorted(key(once) + again)
+    assert "events.parquet" not in _plan(Q.slice_input(spark, sf))
