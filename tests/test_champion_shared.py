@@ -26,3 +26,18 @@ def test_default_ensemble_fitted_once(spark, monkeypatch):
     assert {r["feature"] for r in attributed.select("feature").distinct().collect()} == feats | {"__base__"}
     top = Q.m16_explain(spark, SF_SMALL).select(F.explode("top_contributors.feature").alias("feature")).distinct()
     assert {r["feature"] for r in top.collect()} <= feats and calls == [{}]
+
+
+def test_weighted_variant_fits_its_two_models_only(spark, monkeypatch):
+    """The check of the class weights needs the frame, not the champion of up to 400 trees."""
+    calls, fit = [], MD.train_gbt
+
+    def small(df, features, label="label", weight=None, **asked):
+        calls.append((weight, asked))
+        return fit(df, features, label, weight=weight, max_iter=2, depth=2)
+
+    monkeypatch.setattr(MD, "train_gbt", small)
+    monkeypatch.setattr(Q, "_CHAMPIONS", {})
+    row = Q.m2_weighted_checks(spark, SF_SMALL).first()
+    assert calls == [(None, {"max_iter": 10}), ("weight", {"max_iter": 10})]
+    assert row["n"] > 0 and row["outside"] == 0
